@@ -1,0 +1 @@
+"""Reserved for streaming jobs; the four batch jobs need none."""
