@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopweave.functions.clock import minutes_between
+from stopweave.operators.columns import drop_missing
 from stopweave.operators.ordered import first_per_group
 from stopweave.schemas import VISIT_REQUIRED
 
@@ -33,12 +34,12 @@ ORIGIN = {
 
 def clean_visits(visits: DataFrame) -> DataFrame:
     """Stop records that can be placed on a trip, in time and in space."""
-    return visits.na.drop(subset=list(VISIT_REQUIRED))
+    return drop_missing(visits, VISIT_REQUIRED)
 
 
 def boardings(visits: DataFrame) -> DataFrame:
     """Stop records at which a card was tapped."""
-    return clean_visits(visits).na.drop(subset=["cardNum", "cardTimestamp_s"])
+    return drop_missing(clean_visits(visits), ["cardNum", "cardTimestamp_s"])
 
 
 def dedup_taps(taps: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns a row of the training table must have to be used in tuning.
 COMPLETE_TEXT = ("periodOrig", "weekDay", "route")
@@ -33,6 +34,19 @@ COMPLETE_NUMBERS = (
 )
 
 
+def drop_missing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Rows that have all of ``columns``; not-a-number counts as missing.
+
+    Written as one comparison per column, which reaches the Parquet scan.
+    """
+    for name in columns:
+        present = F.col(name).isNotNull()
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            present = present & ~F.isnan(name)
+        df = df.where(present)
+    return df
+
+
 def rename_columns(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
     """Rename by (old, new) pairs; names that are absent are skipped."""
     return df.withColumnsRenamed(dict(pairs))
@@ -41,7 +55,7 @@ def rename_columns(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame
 def complete_cases(
     df: DataFrame, columns: Sequence[str] = COMPLETE_TEXT + COMPLETE_NUMBERS
 ) -> DataFrame:
-    return df.na.drop(subset=list(columns))
+    return drop_missing(df, columns)
 
 
 def between_dates(df: DataFrame, start: date, end: date, column: str = "date") -> DataFrame:
@@ -49,8 +63,8 @@ def between_dates(df: DataFrame, start: date, end: date, column: str = "date") -
     return df.where(F.col(column).between(F.lit(start), F.lit(end)))
 
 
-def union_days(days: Sequence[DataFrame]) -> DataFrame:
-    """All days as one table, columns matched by name."""
-    if not days:
-        raise ValueError("union_days needs at least one table")
-    return reduce(DataFrame.unionByName, days)
+def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
+    """All tables, such as days read one by one, as one; columns go by name."""
+    if not tables:
+        raise ValueError("union_tables needs at least one table")
+    return reduce(DataFrame.unionByName, tables)

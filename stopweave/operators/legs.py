@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stopweave.functions import calendar
 from stopweave.functions.clock import hour_of_day
-from stopweave.operators.columns import rename_columns
+from stopweave.operators.columns import drop_missing, rename_columns
 from stopweave.operators.ordered import LARGE_GROUP, next_row
 from stopweave.schemas import SHAPE_TRIP
 
@@ -30,14 +30,13 @@ LEG_ENDS = (
 
 def with_stops(visits: DataFrame) -> DataFrame:
     """Records at a stop, with the stop named as the leg tables name it."""
-    return rename_columns(visits, [("stopPointId", "busStopId")]).na.drop(subset=["busStopId"])
+    return drop_missing(rename_columns(visits, [("stopPointId", "busStopId")]), ["busStopId"])
 
 
-def route_stops(visits: DataFrame, ordered: bool = True) -> DataFrame:
+def route_stops(visits: DataFrame) -> DataFrame:
     """Distinct stops of each route and shape, along the shape."""
     stops = with_stops(visits).select("route", "shapeId", "busStopId", "distanceTraveledShape")
-    stops = stops.distinct()
-    return stops.orderBy("route", "shapeId", "distanceTraveledShape") if ordered else stops
+    return stops.distinct().orderBy("route", "shapeId", "distanceTraveledShape")
 
 
 def stop_to_stop(visits: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
@@ -51,7 +50,7 @@ def stop_to_stop(visits: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame
         large_group,
     )
     hops = rename_columns(hops, [(column, orig) for column, orig, _ in LEG_ENDS])
-    return hops.na.drop(subset=["busStopIdDest"])
+    return drop_missing(hops, ["busStopIdDest"])
 
 
 def leg_features(legs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,32 @@ def day_folders(base: str, start: date, end: date) -> str:
     return f"{base.rstrip('/')}/{{{','.join(day.strftime(DAY_FOLDER) for day in days)}}}"
 
 
+def _csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, mode: str
+) -> DataFrame:
+    """CSV matched by column name and cast to the declared types.
+
+    Columns may come in any order, be absent, or be more than declared. A value
+    of the wrong type becomes null, or an error if ``mode`` is FAILFAST.
+    """
+    raw = spark.read.csv(
+        paths if isinstance(paths, str) else list(paths),
+        header=True,
+        nullValue=NULL_MARKER,
+        mode=mode,
+    )
+    kinds = {field.name: field.dataType for field in schema}
+
+    def typed(name: str) -> Column:
+        if name not in kinds or raw.schema[name].dataType == kinds[name]:
+            return F.col(name)
+        column = F.col(name)
+        strict = mode.upper() == "FAILFAST"
+        return (column.cast if strict else column.try_cast)(kinds[name]).alias(name)
+
+    return raw.select(*(typed(name) for name in raw.columns))
+
+
 def read_stop_visits(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -44,13 +70,7 @@ def read_stop_visits(
     wherever and however often it is read. ``numeric_route`` turns route codes
     into numbers and leaves those that are none null.
     """
-    raw = spark.read.schema(schema).csv(
-        paths if isinstance(paths, str) else list(paths),
-        header=True,
-        nullValue=NULL_MARKER,
-        mode=mode,
-        enforceSchema=False,
-    )
+    raw = _csv(spark, paths, schema, mode)
     typed = raw.withColumns(
         {
             "visit_id": F.xxhash64(*(F.col(c) for c in raw.columns)),
@@ -80,12 +100,11 @@ def read_table(
     end: date | None = None,
 ) -> DataFrame:
     """A table written by ``write_table``; a range of dates prunes its folders."""
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("nullValue", NULL_MARKER)
-    if schema is not None:
-        reader = reader.schema(schema)
-    table = reader.load(path)
+        table = _csv(spark, path, schema or T.StructType(), "PERMISSIVE")
+    else:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        table = reader.format(fmt).load(path)
     if start is None and end is None:
         return table
     return between_dates(table, start or date.min, end or date.max)
@@ -93,10 +112,8 @@ def read_table(
 
 def read_crowdedness(spark: SparkSession, path: str, fmt: str = "parquet", **dates: date) -> DataFrame:
     """Loads per trip stop, as input of the leg job."""
-    schema = CROWDEDNESS if fmt == "csv" else None
-    return rename_columns(
-        read_table(spark, path, schema, fmt, **dates), [("stopPointId", "busStopId")]
-    )
+    loads = read_table(spark, path, CROWDEDNESS if fmt == "csv" else None, fmt, **dates)
+    return rename_columns(loads, [("stopPointId", "busStopId")])
 
 
 def read_legs(spark: SparkSession, path: str, fmt: str = "parquet", **dates: date) -> DataFrame:
