@@ -76,7 +76,10 @@ def balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.crowdedness(stops(spark, sf_dir), stop_flows(spark, sf_dir))
+    """Load per trip stop, with the trip stops stored once as the job does."""
+    first_visits = stored(stops(spark, sf_dir))
+    alighted = alighting.infer_alightings(chain(spark, sf_dir), first_visits)
+    return flows.crowdedness(first_visits, flows.stop_flows(alighted))
 
 
 def all_legs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,12 +39,15 @@ def drop_missing(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
     Written as one comparison per column, which reaches the Parquet scan.
     """
-    for name in columns:
-        present = F.col(name).isNotNull()
-        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-            present = present & ~F.isnan(name)
-        df = df.where(present)
-    return df
+    schema = df.schema
+
+    def present(name: str) -> Column:
+        known = F.col(name).isNotNull()
+        if isinstance(schema[name].dataType, (T.DoubleType, T.FloatType)):
+            known = known & ~F.isnan(name)
+        return known
+
+    return df.where(reduce(Column.__and__, map(present, columns)))
 
 
 def rename_columns(df: DataFrame, pairs: Iterable[tuple[str, str]]) -> DataFrame:
