@@ -11,6 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 _MB = 1024 * 1024
 
 
+#: Reading tasks times shuffle partitions is the number of shuffle blocks a
+#: cluster has to track; beyond this many of each, partitions grow instead.
+_MOST_PARTITIONS = 50_000
+
+
 def settings(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[str, str]:
     """Settings for jobs reading ``input_bytes`` on ``cores`` cores.
 
@@ -18,10 +23,10 @@ def settings(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[str,
     never fewer than the cores; adaptive execution merges small ones, splits
     skewed ones and broadcasts a join side only after measuring it.
     """
-    by_size = math.ceil(input_bytes / (partition_mb * _MB))
+    size = max(partition_mb * _MB, math.ceil(input_bytes / _MOST_PARTITIONS))
     return {
-        "spark.sql.shuffle.partitions": str(max(cores, by_size)),
-        "spark.sql.files.maxPartitionBytes": str(partition_mb * _MB),
+        "spark.sql.shuffle.partitions": str(max(cores, math.ceil(input_bytes / size))),
+        "spark.sql.files.maxPartitionBytes": str(size),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_mb // 2 * _MB),

@@ -110,7 +110,8 @@ def test_stored_table_lies_in_the_shared_folder(spark):
 def test_settings_grow_with_the_input():
     small, large = settings(10**6, 8), settings(100 * 10**12, 4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) > 300_000
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(2 * 10**9)
 
 
 def test_schema_of_the_delivered_files_is_text_where_times_are():
