@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 import pytest
@@ -34,6 +36,13 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def formatted(df) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
 def all_plans(visits):
     stops = A.trip_stops(visits)
     chain = B.trip_chain(B.dedup_taps(B.boardings(visits)))
@@ -57,13 +66,14 @@ def test_no_join_without_keys_and_no_python(visits, no_broadcast):
 
 
 def test_filters_and_columns_reach_the_scan(visits, no_broadcast):
-    text = plan(B.dedup_taps(B.boardings(visits)).select("cardNum", "cardTimestamp_s", "visit_id"))
+    taps = B.dedup_taps(B.boardings(visits))
+    text = formatted(taps.select("cardNum", "cardTimestamp_s", "visit_id"))
     pushed = re.search(r"PushedFilters: \[(.*?)\]", text).group(1)
-    assert "IsNotNull(cardNum)" in pushed or "IsNotNull" in pushed
+    assert "IsNotNull(cardNum)" in pushed and "IsNotNull(stopPointId)" in pushed
     schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
     assert "problem" not in schema and "distanceTraveledShape" not in schema
     days = visits.where("date = '2024-01-02'")
-    assert "PartitionFilters: [isnotnull(date" in plan(A.trip_stops(days))
+    assert re.search(r"PartitionFilters: \[.*2024-01-02", formatted(A.trip_stops(days)))
 
 
 def test_taps_are_shuffled_twice_for_the_chain(visits, no_broadcast):
@@ -92,10 +102,9 @@ def read_like(visits):
     return visits.selectExpr("*", *(f"{v} AS {k}" for k, v in names.items()))
 
 
-def test_large_groups_are_the_only_forced_broadcast(visits, no_broadcast):
-    text = plan(all_plans(visits)["legs"])
-    for build in re.findall(r"BroadcastExchange.*?\n(.*?)\n", text):
-        assert "_rows" in text[text.index(build) :][:400] or "Filter" in build
+def test_only_the_list_of_large_groups_is_broadcast_unmeasured(visits, no_broadcast):
+    broadcast = {name for name, df in all_plans(visits).items() if "BroadcastExchange" in plan(df)}
+    assert broadcast == {"legs"}
 
 
 def test_no_large_group_leaves_one_shuffle_of_the_records(visits, spark):
