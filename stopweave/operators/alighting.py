@@ -17,7 +17,7 @@ MAX_WALK_KM = 1.0
 def trip_stops(visits: DataFrame) -> DataFrame:
     """First visit of each stop in a trip; later passes are dropped map-side."""
     cleaned = clean_visits(visits).drop("cardNum", "cardTimestamp_s", "cardTimestamp")
-    return first_per_group(cleaned, TRIP_STOP, [F.col("timestamp_s"), F.col("visit_id")])
+    return first_per_group(cleaned, TRIP_STOP, ["timestamp_s", "visit_id"])
 
 
 def _on_trip(stops: DataFrame, legs: DataFrame) -> Column:

@@ -38,8 +38,9 @@ def clean_visits(visits: DataFrame) -> DataFrame:
 
 
 def boardings(visits: DataFrame) -> DataFrame:
-    """Stop records at which a card was tapped."""
-    return drop_missing(clean_visits(visits), ["cardNum", "cardTimestamp_s"])
+    """Taps: stop records with a card, cut down to what tells where it boarded."""
+    tapped = drop_missing(clean_visits(visits), ["cardNum", "cardTimestamp_s"])
+    return tapped.select("cardNum", *ORIGIN)
 
 
 def dedup_taps(taps: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def dedup_taps(taps: DataFrame) -> DataFrame:
     Copies are dropped before the shuffle. Afterwards a card has at most one
     row per second of the day, however many taps came in under its number.
     """
-    return first_per_group(taps, TAP, [F.col("visit_id")])
+    return first_per_group(taps, TAP, ["visit_id"])
 
 
 def taps_per_card(taps: DataFrame, more_than: int = 1) -> DataFrame:

@@ -1,9 +1,9 @@
 """Ordered work inside groups, also where one group holds most of the rows.
 
-A window puts each group into one task. ``first_per_group`` is safe as it is:
-Spark keeps the first row of a group before the shuffle (WindowGroupLimit).
-``next_row`` needs every row, so groups above ``large_group`` rows are cut into
-consecutive chunks; only the row at the end of a chunk looks into the next one.
+A window puts each group into one task. ``first_per_group`` needs none: it is an
+aggregate, reduced before the shuffle. ``next_row`` needs every row, so groups
+above ``large_group`` rows are cut into consecutive chunks; only the row at the
+end of a chunk looks into the next one.
 """
 
 from __future__ import annotations
@@ -18,10 +18,18 @@ from pyspark.sql import functions as F
 LARGE_GROUP = 5_000_000
 
 
-def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each group; ``order`` must leave no ties."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
+def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each group; ``order`` must leave no ties.
+
+    Each task keeps one row per group before the shuffle. Grouping starts with a
+    hash of the keys because rows are sorted by group: numbers that seldom tie
+    compare much faster than keys that share a date and a route. All columns of
+    ``df`` travel, so select the wanted ones first.
+    """
+    others = [F.col(c) for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct(*order)).alias("_first")
+    grouped = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(first)
+    return grouped.select(*keys, "_first.*").select(*df.columns)
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -90,6 +90,15 @@ def test_ranking_is_cut_before_its_shuffle(visits, no_broadcast):
     assert re.search(r"SortMergeJoin \[o_date, o_route, o_bus_code, o_tripNum, _o_row, _o_column\]", text)
 
 
+def test_trip_stops_are_sorted_out_once_for_the_loads(visits):
+    """One scan for taps, one for trip stops, one to count stops by key alone."""
+    loads = all_plans(visits)["loads"]
+    loads.collect()
+    final = plan(loads).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 3 and "ReusedExchange" in final
+    assert final.count("partial_min_by(struct(visit_id") == 1
+
+
 def test_flows_need_no_join(visits, no_broadcast):
     od = read_like(visits)
     text = plan(L.stop_flows(od))
