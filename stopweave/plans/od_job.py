@@ -15,7 +15,13 @@ from stopweave.sources.writers import write_table
 TRIP_ORDER = ("route", "busCode", "tripNum", "timestamp_s")
 
 
-def build_od(visits: DataFrame, output: str, per: str = "trip", fmt: str = "parquet") -> None:
+def build_od(
+    visits: DataFrame,
+    output: str,
+    per: str = "trip",
+    missing_as_zero: bool = False,
+    fmt: str = "parquet",
+) -> None:
     """Write all tables of the job for the days in ``visits``.
 
     Every key holds the date, so any number of days go through together. Trip
@@ -28,7 +34,7 @@ def build_od(visits: DataFrame, output: str, per: str = "trip", fmt: str = "parq
     write_table(od, f"{output}/od/trips_od", fmt=fmt)
     write_table(flows.trip_origins(od), f"{output}/od/trips_origins", fmt=fmt)
     write_table(flows.trip_destinations(od), f"{output}/od/trips_destinations", fmt=fmt)
-    loads = flows.crowdedness(stops, flows.stop_flows(od))
+    loads = flows.crowdedness(stops, flows.stop_flows(od), missing_as_zero)
     write_table(loads, f"{output}/od/crowdedness", sort_by=TRIP_ORDER, fmt=fmt)
 
 
@@ -39,8 +45,9 @@ def run_od_job(
     start: date,
     end: date,
     per: str = "trip",
+    missing_as_zero: bool = False,
     fmt: str = "parquet",
 ) -> None:
     """Read the CSV day folders from ``start`` to ``end`` and build all tables."""
     visits = between_dates(read_days(spark, source, start, end), start, end)
-    build_od(visits, output, per, fmt)
+    build_od(visits, output, per, missing_as_zero, fmt)

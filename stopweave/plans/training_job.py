@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.ml import Model
@@ -25,10 +25,14 @@ TRAINERS = {
 
 
 def featured_split(
-    train: DataFrame, test: DataFrame, numbers: Sequence[str], categories: Sequence[str]
+    train: DataFrame,
+    test: DataFrame,
+    numbers: Sequence[str],
+    categories: Sequence[str],
+    one_hot: bool = False,
 ) -> tuple[Model, DataFrame, DataFrame]:
     """Pipeline fitted on the training rows, and both sides with features."""
-    pipeline = features.feature_pipeline(numbers, categories).fit(train)
+    pipeline = features.feature_pipeline(numbers, categories, one_hot).fit(train)
     keep = [*train.columns, "features"]
     return (
         pipeline,
@@ -44,12 +48,14 @@ def run_training_job(
     labels: Sequence[str] = ("duration", "crowdedness"),
     start: date | None = None,
     end: date | None = None,
+    split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] = features.hash_split,
+    one_hot: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
     """Train, save and evaluate; returns one row of metrics per label."""
     legs = read_legs(spark, source, fmt, start=start, end=end)
     pipeline, train, test = featured_split(
-        *features.hash_split(legs), features.TRAINING_NUMBERS, features.TRAINING_CATEGORIES
+        *split(legs), features.TRAINING_NUMBERS, features.TRAINING_CATEGORIES, one_hot
     )
     save_model(pipeline, f"{output}/pipeline")
     reports = []

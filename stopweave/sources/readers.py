@@ -57,6 +57,13 @@ def _csv(
     return raw.select(*(typed(name) for name in raw.columns))
 
 
+def _identified(df: DataFrame) -> DataFrame:
+    """``df`` with a ``visit_id``: a hash of the whole record unless it has one."""
+    if "visit_id" in df.columns:
+        return df
+    return df.withColumn("visit_id", F.xxhash64(*(F.col(c) for c in df.columns)))
+
+
 def read_stop_visits(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -71,9 +78,8 @@ def read_stop_visits(
     into numbers and leaves those that are none null.
     """
     raw = _csv(spark, paths, schema, mode)
-    typed = raw.withColumns(
+    typed = _identified(raw).withColumns(
         {
-            "visit_id": F.xxhash64(*(F.col(c) for c in raw.columns)),
             "date": F.to_date(F.try_to_timestamp("date", F.lit(DAY_FORMAT))),
             "timestamp_s": seconds_of_day(F.col("timestamp")),
             "cardTimestamp_s": seconds_of_day(F.col("cardTimestamp")),
@@ -111,12 +117,40 @@ def read_table(
 
 
 def read_crowdedness(spark: SparkSession, path: str, fmt: str = "parquet", **dates: date) -> DataFrame:
-    """Loads per trip stop, as input of the leg job."""
-    loads = read_table(spark, path, CROWDEDNESS if fmt == "csv" else None, fmt, **dates)
+    """Loads per trip stop, as input of the leg job.
+
+    CSV may also be of the older form, with the date in seconds since 1970, the
+    time as ``HH:mm:ss`` in ``timestamp``, and no ``visit_id``.
+    """
+    if fmt != "csv":
+        loads = read_table(spark, path, None, fmt, **dates)
+    else:
+        raw = _csv(spark, path, _without(CROWDEDNESS, "date"), "PERMISSIVE")
+        loads = _dated(raw, "date", **dates)
+        if "timestamp_s" not in loads.columns:
+            loads = loads.withColumn("timestamp_s", seconds_of_day(F.col("timestamp")))
+        loads = _identified(loads)
     return rename_columns(loads, [("stopPointId", "busStopId")])
 
 
+def _without(schema: T.StructType, name: str) -> T.StructType:
+    return T.StructType([field for field in schema if field.name != name])
+
+
+def _dated(
+    df: DataFrame, column: str, start: date | None = None, end: date | None = None
+) -> DataFrame:
+    """``column`` as a date, from a date or from seconds since 1970, in a range."""
+    if not isinstance(df.schema[column].dataType, T.DateType):
+        text = F.col(column).cast("string")
+        seconds = F.timestamp_seconds(text.try_cast("bigint"))
+        df = df.withColumn(column, F.coalesce(text.try_cast("date"), seconds.cast("date")))
+    if start is None and end is None:
+        return df
+    return between_dates(df, start or date.min, end or date.max, column)
+
+
 def read_legs(spark: SparkSession, path: str, fmt: str = "parquet", **dates: date) -> DataFrame:
     """The training table."""
     table = read_table(spark, path, LEGS if fmt == "csv" else None, fmt, **dates)
-    return table.withColumn("duration", F.col("duration").cast("double"))
+    return _identified(table).withColumn("duration", F.col("duration").cast("double"))

@@ -68,6 +68,20 @@ def test_days_in_a_range_without_missing_ones(spark, days):
         readers.day_folders("x", date(2024, 1, 2), date(2024, 1, 1))
 
 
+def test_loads_of_the_older_form(spark, tmp_path):
+    (tmp_path / "loads.csv").write_text(
+        "route,date,busCode,tripNum,stopPointId,timestamp,shapeId,ext_num_pass\n"
+        "020,1704153600,B1,1,5,06:12:33,7,2.5\n"
+        "020,1704240000,B1,1,6,25:12:33,7,\n"
+    )
+    rows = {r.busStopId: r for r in readers.read_crowdedness(spark, str(tmp_path), "csv").collect()}
+    assert (rows[5].date, rows[5].timestamp_s, rows[5].ext_num_pass) == (date(2024, 1, 2), 22353, 2.5)
+    assert (rows[6].date, rows[6].timestamp_s, rows[6].ext_num_pass) == (date(2024, 1, 3), 90753, None)
+    assert rows[5].visit_id != rows[6].visit_id
+    late = readers.read_crowdedness(spark, str(tmp_path), "csv", start=date(2024, 1, 3))
+    assert [r.busStopId for r in late.collect()] == [6]
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_day_run_again_replaces_its_rows(spark, tmp_path, fmt):
     path = str(tmp_path / "table")

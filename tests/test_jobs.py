@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stopweave.functions.clock import time_text
-from stopweave.ml import models, tuning
+from stopweave.ml import features, models, tuning
 from stopweave.operators import alighting as A
 from stopweave.plans.legs_job import run_legs_job
 from stopweave.plans.od_job import run_od_job
@@ -106,6 +106,14 @@ def test_training_job(spark, output, tmp_path):
     ]
 
 
+def test_training_with_other_choices(spark, output, tmp_path):
+    table = run_training_job(
+        spark, f"{output}/legs/train_data", str(tmp_path), ("pacing",),
+        start=START, end=date(2024, 1, 6), split=features.random_split, one_hot=True,
+    )
+    assert [r.label for r in table.collect()] == ["pacing"]
+
+
 def test_tuning_job(spark, output, tmp_path):
     searches = {
         "lasso": tuning.Search(models.lasso, {"maxIter": (10,), "regParam": (0.1, 0.01)}, 2),
