@@ -7,6 +7,8 @@ operators use one pass, and no grid, chunk or partial step.
 
 from __future__ import annotations
 
+import re
+
 SUBQUERIES = {
     "stop_visits": """
 SELECT event_id AS visit_id,
@@ -186,7 +188,8 @@ SELECT min(shapeLatOrig) AS lat_o_min, max(shapeLatOrig) AS lat_o_max,
 FROM {rows}""",
 }
 
-_NEEDS_VISITS = (
+# The subqueries in an order in which each one comes after those it reads.
+_ORDER = (
     "stop_visits", "clean", "tapped", "taps", "repeat_cards", "repeats", "numbered", "chain",
     "stops", "pairs", "near", "od", "od_boarding", "origins", "destinations", "flows", "factors",
     "balance", "loads", "crowdedness", "hops", "timed", "legs", "kept", "load_hops", "load_timed",
@@ -195,8 +198,6 @@ _NEEDS_VISITS = (
 
 
 def _uses(text: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b(FROM|JOIN)\s+{name}\b", text) is not None
 
 
@@ -206,11 +207,11 @@ def _with(select: str, **extra: str) -> str:
     pending = [select, *extra.values()]
     while pending:
         text = pending.pop()
-        for name in _NEEDS_VISITS:
+        for name in _ORDER:
             if name not in wanted and _uses(text, name):
                 wanted[name] = SUBQUERIES[name]
                 pending.append(SUBQUERIES[name])
-    ordered = [(name, wanted[name]) for name in _NEEDS_VISITS if name in wanted]
+    ordered = [(name, wanted[name]) for name in _ORDER if name in wanted]
     parts = [f"{name} AS ({body}\n)" for name, body in (*ordered, *extra.items())]
     return f"WITH {', '.join(parts)}\n{select.strip()}"
 
