@@ -28,6 +28,14 @@ from stopweave.schemas import TRIP_STOP
 from stopweave.session import stored
 from stopweave.sources.events import visits_from_events
 
+try:
+    from stopweave.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    # The corpus operators and their pipeline are optional: the rest works without these files.
+    if missing.name not in ("stopweave.llm", "stopweave.llm.queries", "corpus_pipeline"):
+        raise
+    corpus = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 TRAIN_START, TRAIN_END, TEST_END = date(2024, 1, 1), date(2024, 1, 20), date(2024, 1, 30)
@@ -343,6 +351,10 @@ def best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return transit_queries() | (corpus.queries() if corpus else {})
+
+
+def transit_queries() -> dict[str, Query]:
     return {
         "scan_stop_visits": scan_stop_visits,
         "date_range_scan": date_range_scan,
@@ -403,4 +415,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (corpus.oracle_sql() if corpus else {})
