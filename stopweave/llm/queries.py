@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopweave.llm import simhash
+from stopweave.llm import decontamination, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,29 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_simhash": op2_simhash,
+        "op6_mixing": op6_mixing,
+        "op7_decontamination": op7_decontamination,
+        "op9_sharding": op9_sharding,
     }
 
 
