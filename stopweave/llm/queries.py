@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopweave.llm import decontamination, mixing, sharding, simhash
+from stopweave.llm import decontamination, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select(
@@ -42,6 +48,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
         "op6_mixing": op6_mixing,
         "op7_decontamination": op7_decontamination,
