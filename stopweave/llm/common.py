@@ -18,26 +18,27 @@ _PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
 
-def row_keys(text: str = "text", doc_id: str = "doc_id") -> list[Column]:
-    """96 bits that tell a row of documents from all with another id or text."""
+def row_keys(*columns: str) -> list[Column]:
+    """96 bits that tell a row from all with other values in ``columns``: id and text by default."""
+    columns = columns or ("doc_id", "text")
     return [
-        F.xxhash64(F.col(doc_id), F.col(text)).alias("_key1"),
-        F.hash(F.col(text), F.col(doc_id)).alias("_key2"),
+        F.xxhash64(*columns).alias("_key1"),
+        F.hash(*reversed(columns)).alias("_key2"),
     ]
 
 
 KEYS = ["_key1", "_key2"]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("*", *row_keys())
+def keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    return docs.select("*", *row_keys(*columns))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(rows: DataFrame) -> DataFrame:
     """One row for each pair of keys; merged before the shuffle, so copies don't pile up."""
-    rest = [c for c in docs.columns if c not in KEYS]
-    merged = docs.groupBy(*KEYS).agg(F.min(F.struct(*rest)).alias("_row"))
-    return merged.select(*(F.col("_row")[c].alias(c) for c in rest), *KEYS)
+    rest = [c for c in rows.columns if c not in KEYS]
+    merged = rows.groupBy(*KEYS).agg(F.first(F.struct(*rest)).alias("_row"))
+    return merged.select(*KEYS, "_row.*")
 
 
 def batches_of(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 22):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stopweave.llm import decontamination, mixing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,7 @@ def queries() -> dict[str, Query]:
         "op6_mixing": op6_mixing,
         "op7_decontamination": op7_decontamination,
         "op9_sharding": op9_sharding,
+        "pipeline": corpus_pipeline.run,
     }
 
 
