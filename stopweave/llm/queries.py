@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stopweave.llm import decontamination, mixing, sharding, simhash, toxicity
+from stopweave.llm import decontamination, licenses, mixing, oracle, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -54,9 +58,12 @@ def queries() -> dict[str, Query]:
         "op6_mixing": op6_mixing,
         "op7_decontamination": op7_decontamination,
         "op9_sharding": op9_sharding,
+        "op10_licenses": op10_licenses,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_licenses": oracle.license_sql(),
+    }
