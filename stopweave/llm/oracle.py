@@ -46,3 +46,31 @@ FROM rows_ r
 LEFT JOIN per_base b ON r.doc_id = b.doc_id AND r.text IS NOT DISTINCT FROM b.text
 LEFT JOIN every e ON r.doc_id = e.doc_id AND r.text IS NOT DISTINCT FROM e.text
 """
+
+
+#: Both replicas compared record by record.
+FIXITY = r"""
+WITH records AS (
+  SELECT page_id, substr(md5(coalesce(CAST(page_id AS varchar), '')), 1, 2) AS lot,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: '
+         || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: ' || coalesce(CAST(page_id AS varchar), '')
+         || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages
+),
+hurt AS (
+  SELECT *, sha256(record) AS digest,
+         CASE lot WHEN '00' THEN 'X' || substr(record, 2) WHEN '02' THEN substr(record, 1, length(record) // 2) ELSE record END AS found
+  FROM records
+),
+placed AS (
+  SELECT *, coalesce(sum(strlen(record)) OVER (ORDER BY page_id NULLS FIRST, digest
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM hurt
+)
+SELECT CAST(place AS bigint) AS "offset", page_id AS record_id, CAST(strlen(record) AS bigint) AS length,
+       CASE WHEN lot <> '01' THEN CAST(strlen(found) AS bigint) END AS found_length, digest,
+       CASE WHEN lot <> '01' THEN sha256(found) END AS found_digest,
+       CASE lot WHEN '01' THEN 'missing' ELSE 'changed' END AS kind
+FROM placed WHERE lot IN ('00', '01', '02')
+"""

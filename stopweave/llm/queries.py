@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stopweave.llm import decontamination, licenses, mixing, oracle, sharding, simhash, toxicity
+from stopweave.llm import decontamination, fixity, licenses, mixing, neighbours, oracle, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.audit(*fixity.damaged_replica(table(spark, sf_dir, "pages")))
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -55,8 +63,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
+        "op3_fixity": op3_fixity,
         "op6_mixing": op6_mixing,
         "op7_decontamination": op7_decontamination,
+        "op8_neighbours": op8_neighbours,
         "op9_sharding": op9_sharding,
         "op10_licenses": op10_licenses,
         "pipeline": corpus_pipeline.run,
@@ -65,5 +75,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_fixity": oracle.FIXITY,
         "op10_licenses": oracle.license_sql(),
     }
