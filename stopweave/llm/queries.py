@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stopweave.llm import decontamination, fixity, licenses, mixing, neighbours, oracle, sharding, simhash, toxicity
+from stopweave.llm import backoff, decontamination, fixity, licenses, mixing, neighbours, oracle, secretscan, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,15 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return backoff.score_documents(docs, docs)
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -64,6 +73,8 @@ def queries() -> dict[str, Query]:
         "op1_toxicity": op1_toxicity,
         "op2_simhash": op2_simhash,
         "op3_fixity": op3_fixity,
+        "op4_backoff": op4_backoff,
+        "op5_secrets": op5_secrets,
         "op6_mixing": op6_mixing,
         "op7_decontamination": op7_decontamination,
         "op8_neighbours": op8_neighbours,
