@@ -254,10 +254,9 @@ def split_by_date(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = features.hash_split(kept_legs(spark, sf_dir))
-    return columns.union_tables(
-        [train.withColumn("side", F.lit("train")), test.withColumn("side", F.lit("test"))]
-    ).select(*LEG_KEY, "side")
+    share = features.split_share(["visit_id"])
+    side = F.when(share < features.TRAIN_SHARE, "train").otherwise("test")
+    return kept_legs(spark, sf_dir).select(*LEG_KEY, side.alias("side"))
 
 
 def describe_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +266,7 @@ def describe_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of the mean duration per route and hour as a prediction."""
-    kept = kept_legs(spark, sf_dir).select("route", "hourOrig", "duration")
+    kept = stored(kept_legs(spark, sf_dir).select("route", "hourOrig", "duration"))
     means = kept.groupBy("route", "hourOrig").agg(F.avg("duration").alias("prediction"))
     predicted = kept.join(means, ["route", "hourOrig"])
     metrics = evaluation.regression_metrics(predicted, "duration")
@@ -331,7 +330,6 @@ def predict(label: str) -> Query:
 def tune(spark: SparkSession, sf_dir: str, kind: str, label: str) -> object:
     table = stored(columns.complete_cases(load_legs(spark, sf_dir)))
     train, test = features.temporal_split(table, TRAIN_START, TRAIN_END, TEST_END)
-    models.check_max_bins(train)
     _, train, test = featured_split(
         train, test, features.TUNING_NUMBERS, features.TUNING_CATEGORIES
     )

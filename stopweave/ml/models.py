@@ -25,8 +25,8 @@ def lasso(label: str) -> LinearRegression:
     )
 
 
-def boosted_trees(label: str) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, maxDepth=TREE_DEPTH, maxBins=TREE_BINS, seed=SEED)
+def boosted_trees(label: str, bins: int = TREE_BINS) -> GBTRegressor:
+    return GBTRegressor(labelCol=label, maxDepth=TREE_DEPTH, maxBins=bins, seed=SEED)
 
 
 def random_forest(label: str) -> RandomForestRegressor:
@@ -43,7 +43,7 @@ def train_lasso(features: DataFrame, label: str) -> Model:
 
 
 def train_gbt(features: DataFrame, label: str) -> Model:
-    return fit(boosted_trees(label), features)
+    return fit(boosted_trees(label, tree_bins(features)), features)
 
 
 def route_arity(legs: DataFrame, column: str = "route") -> DataFrame:
@@ -51,12 +51,11 @@ def route_arity(legs: DataFrame, column: str = "route") -> DataFrame:
     return legs.agg(F.count_distinct(column).alias("arity"))
 
 
-def check_max_bins(legs: DataFrame, max_bins: int = TREE_BINS, column: str = "route") -> int:
-    """Arity of a category, refused if trees with ``max_bins`` cannot split it.
+def tree_bins(legs: DataFrame, column: str = "route", least: int = TREE_BINS) -> int:
+    """Bins with which trees can split a category: ``least``, or more if it has more values.
 
     One bin is kept for categories that first appear in test data.
     """
-    arity = route_arity(legs, column).first()["arity"]
-    if arity + 1 > max_bins:
-        raise ValueError(f"{column} has {arity} values, too many for maxBins={max_bins}")
-    return arity
+    if column not in legs.columns:
+        return least
+    return max(least, route_arity(legs, column).first()["arity"] + 1)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -33,6 +33,14 @@ SEARCHES = {
 }
 
 
+def with_bins(search: Search, bins: int) -> Search:
+    """``search`` with every number of bins it tries raised to ``bins`` at least."""
+    if "maxBins" not in search.grid:
+        return search
+    tried = tuple(dict.fromkeys(max(bins, value) for value in search.grid["maxBins"]))
+    return replace(search, grid=search.grid | {"maxBins": tried})
+
+
 def tune_model(
     kind: str,
     features: DataFrame,
@@ -45,8 +53,11 @@ def tune_model(
 
     ``features`` should be a stored table: folds are drawn by a seed per
     partition, and a stored table is read the same way after a lost executor.
+    Trees get as many bins as the routes in ``features`` need.
     """
     search = search or SEARCHES[kind]
+    if "maxBins" in search.grid:
+        search = with_bins(search, models.tree_bins(features))
     estimator = search.build(label)
     grid = ParamGridBuilder()
     for name, values in search.grid.items():
@@ -65,11 +76,10 @@ def tune_model(
 def best_params(
     spark: SparkSession, kind: str, label: str, model: CrossValidatorModel
 ) -> DataFrame:
-    """The chosen parameters, one row each."""
+    """The chosen values of the parameters that were searched, one row each."""
     best = model.bestModel
-    rows = [
-        (kind, label, name, float(best.getOrDefault(name))) for name in SEARCHES[kind].grid
-    ]
+    names = dict.fromkeys(param.name for params in model.getEstimatorParamMaps() for param in params)
+    rows = [(kind, label, name, float(best.getOrDefault(name))) for name in names]
     return spark.createDataFrame(rows, "model string, label string, param string, value double")
 
 

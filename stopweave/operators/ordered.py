@@ -3,7 +3,8 @@
 A window puts each group into one task. ``first_per_group`` needs none: it is an
 aggregate, reduced before the shuffle. ``next_row`` needs every row, so groups
 above ``large_group`` rows are cut into consecutive chunks; only the row at the
-end of a chunk looks into the next one.
+end of a chunk looks into the next one. The list of such groups is made and stored
+when the step is planned: without any, the plan is one window.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stopweave.session import stored
+
 #: Rows a single task may sort for one group before the group is cut.
 LARGE_GROUP = 5_000_000
 
@@ -44,8 +47,8 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
 def large_groups(df: DataFrame, keys: Sequence[str], large_group: int) -> DataFrame:
     """Keys of groups above ``large_group`` rows.
 
-    Counted with a partial sum per task. There are fewer than
-    rows / ``large_group`` such groups, which bounds the list for a broadcast.
+    Counted with a partial sum per task; there are fewer than
+    rows / ``large_group`` such groups.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return counted.where(F.col("_rows") > large_group).drop("_rows")
@@ -96,11 +99,15 @@ def next_row(
     """
     ahead = F.struct(*(F.col(old).alias(new) for old, new in columns.items()))
     order = [F.col(position), F.col(tiebreak)]
-    large = F.broadcast(large_groups(df, keys, large_group))
-
-    whole = _match(df, large, keys, "left_anti").withColumn(
-        "_next", F.lead(ahead).over(Window.partitionBy(*keys).orderBy(*order))
-    )
+    following = F.lead(ahead).over(Window.partitionBy(*keys).orderBy(*order))
+    # No group is larger than the table: a bounded count spares small tables the rest.
+    if df.select(F.lit(1)).limit(large_group + 1).count() <= large_group:
+        return df.withColumn("_next", following).select("*", "_next.*").drop("_next")
+    large = stored(large_groups(df, keys, large_group))
+    if large.isEmpty():
+        return df.withColumn("_next", following).select("*", "_next.*").drop("_next")
+
+    whole = _match(df, large, keys, "left_anti").withColumn("_next", following)
 
     pieces = chunked(_match(df, large, keys, "left_semi"), keys, position, tiebreak, large_group)
     piece = [*keys, "_chunk"]

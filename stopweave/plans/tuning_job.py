@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stopweave.ml import evaluation, features, models, tuning
+from stopweave.ml import evaluation, features, tuning
 from stopweave.operators.columns import complete_cases, union_tables
 from stopweave.plans.training_job import featured_split
 from stopweave.session import stored
@@ -31,8 +31,6 @@ def run_tuning_job(
     """Tune every kind of model for every label; returns the best parameters."""
     legs = complete_cases(read_legs(spark, source, fmt, start=train_start, end=test_end))
     train, test = features.temporal_split(legs, train_start, train_end, test_end)
-    if {"rf", "gbt"} & set(kinds):
-        models.check_max_bins(train)
     pipeline, train, test = featured_split(
         train, test, features.TUNING_NUMBERS, features.TUNING_CATEGORIES
     )

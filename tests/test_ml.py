@@ -170,10 +170,30 @@ def test_reloaded_models_predict_the_same(sides, planted, tmp_path):
     assert set(again.transform(prepared).select("visit_id", "prediction").collect()) == set(want)
 
 
-def test_max_bins_check(planted):
-    assert models.check_max_bins(planted) == 3
-    with pytest.raises(ValueError):
-        models.check_max_bins(planted, max_bins=3)
+def test_bins_grow_with_the_routes(planted):
+    assert models.tree_bins(planted) == 300
+    assert models.tree_bins(planted, least=3) == 4
+
+
+@pytest.mark.parametrize("kind", ["rf", "gbt"])
+def test_trees_over_400_routes(spark, planted, kind):
+    many = planted.withColumn("route", F.concat(F.lit("r"), (F.col("visit_id") % 400).cast("string")))
+    assert models.tree_bins(many) == 401
+    pipeline = features.feature_pipeline(features.TUNING_NUMBERS, features.TUNING_CATEGORIES)
+    train = pipeline.fit(many).transform(many)
+    build = tuning.SEARCHES[kind].build
+    search = tuning.Search(build, {"maxDepth": (2,), "maxBins": (300,)}, 2)
+    fitted = tuning.tune_model(kind, train, "duration", search)
+    best = {r.param: r.value for r in tuning.best_params(spark, kind, "duration", fitted).collect()}
+    assert best == {"maxDepth": 2.0, "maxBins": 401.0}
+
+
+def test_best_params_are_those_searched(spark, sides):
+    _, train, _ = sides
+    search = tuning.Search(models.lasso, {"maxIter": (5,), "elasticNetParam": (0.0, 1.0)}, 2)
+    fitted = tuning.tune_model("lasso", train, "duration", search)
+    best = tuning.best_params(spark, "lasso", "duration", fitted)
+    assert {r.param for r in best.collect()} == {"maxIter", "elasticNetParam"}
 
 
 def test_tuning_prefers_the_weaker_penalty(spark, sides):
