@@ -6,6 +6,7 @@ Every query reads the whole ``events`` table, laid out as stop records.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import date
 from pathlib import Path
@@ -25,8 +26,11 @@ from stopweave.ml import evaluation, features, models, tuning
 from stopweave.operators import alighting, boardings, columns, flows, legs
 from stopweave.plans.training_job import TRAINERS, featured_split
 from stopweave.schemas import TRIP_STOP
-from stopweave.session import stored
+from stopweave.plans.legs_job import run_legs_job
+from stopweave.plans.od_job import build_od
+from stopweave.session import job_tables, shared_folder, stored
 from stopweave.sources.events import visits_from_events
+from stopweave.sources.readers import DAY_FORMAT, NULL_MARKER, read_stop_visits
 
 try:
     from stopweave.llm import queries as corpus
@@ -123,6 +127,35 @@ def scan_stop_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(*exact, *r6("shapeLat", "shapeLon"))
 
 
+def csv_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records written as day folders with two orders of columns, and read back by name."""
+    clock = lambda c: F.date_format(F.timestamp_seconds(c), "HH:mm:ss")
+    day = F.date_format("date", DAY_FORMAT)
+    text = visits(spark, sf_dir).withColumns(
+        {"timestamp": clock("timestamp_s"), "cardTimestamp": clock("cardTimestamp_s"), "date": day, "day": day}
+    ).drop("timestamp_s", "cardTimestamp_s")
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    for k, names in enumerate((text.columns, text.columns[::-1])):
+        half = text.select(*names).where(F.pmod(F.dayofmonth(F.to_date("day", DAY_FORMAT)), F.lit(2)) == k)
+        writer = half.repartition("day").write.partitionBy("day").options(header=True, nullValue=NULL_MARKER)
+        writer.csv(f"{folder}/{k}")
+    records = read_stop_visits(spark, [f"{folder}/0/*", f"{folder}/1/*"])
+    exact = [c for c in visits(spark, sf_dir).columns if c not in ("visit_id", "route", "cardNum", "shapeLat", "shapeLon")]
+    numbers = [F.col(c).cast(t).alias(c) for c, t in (("visit_id", "bigint"), ("route", "int"), ("cardNum", "bigint"))]
+    return records.select(*numbers, *exact, *r6("shapeLat", "shapeLon"))
+
+
+def legs_job_train_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training table as the origin-destination and leg jobs write it."""
+    folder = f"{shared_folder(spark)}/jobs-{uuid.uuid4().hex}"
+    with job_tables(spark):
+        build_od(visits(spark, sf_dir), folder)
+    run_legs_job(spark, f"{folder}/od/crowdedness", f"{folder}/legs")
+    return spark.read.parquet(f"{folder}/legs/train_data").select(
+        *LEG_KEY, "duration", "distance", *r6("crowdedness", "speed", "pacing"), "hourOrig", "weekDay"
+    )
+
+
 def date_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = columns.between_dates(visits(spark, sf_dir), date(2024, 1, 8), date(2024, 1, 21))
     return days.select("visit_id", "date", "route", "timestamp_s")
@@ -355,6 +388,7 @@ def queries() -> dict[str, Query]:
 def transit_queries() -> dict[str, Query]:
     return {
         "scan_stop_visits": scan_stop_visits,
+        "csv_visits": csv_visits,
         "date_range_scan": date_range_scan,
         "union_days": union_days,
         "rename_columns": rename_columns,
@@ -391,6 +425,7 @@ def transit_queries() -> dict[str, Query]:
         ),
         "clean_legs": clean_legs,
         "crowdedness_legs": crowdedness_legs,
+        "legs_job_train_data": legs_job_train_data,
         "complete_cases": complete_cases,
         "split_train": lambda s, d: split_by_date(s, d)[0].select(*LEG_KEY, "duration"),
         "split_test": lambda s, d: split_by_date(s, d)[1].select(*LEG_KEY, "duration"),
@@ -413,4 +448,8 @@ def transit_queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements() | (corpus.oracle_sql() if corpus else {})
+    statements = oracle.statements()
+    # Written and read again, the tables are the same.
+    statements["csv_visits"] = statements["scan_stop_visits"]
+    statements["legs_job_train_data"] = statements["crowdedness_legs"]
+    return statements | (corpus.oracle_sql() if corpus else {})

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Columns a row of the training table must have to be used in tuning.
+# Columns a row of the training table must have to be used in tuning.
 COMPLETE_TEXT = ("periodOrig", "weekDay", "route")
 COMPLETE_NUMBERS = (
     "shapeLatOrig",

@@ -17,7 +17,7 @@ CLEAN_SECONDS = 1100
 CLEAN_SPEED_KMH = 90
 CLEAN_PROBLEMS = ("NO_PROBLEM", "BETWEEN")
 
-# Columns that differ between the two ends of a leg: (column, at origin, at destination).
+# Columns that differ between the two ends of a leg: (column, at origin, at destination).
 LEG_ENDS = (
     ("busStopId", "busStopIdOrig", "busStopIdDest"),
     ("timestamp_s", "timestampOrig_s", "timestampDest_s"),

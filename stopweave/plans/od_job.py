@@ -7,9 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from stopweave.operators import alighting, boardings, flows
-from stopweave.operators.columns import between_dates
-from stopweave.session import stored
-from stopweave.sources.readers import read_days
+from stopweave.session import job_tables, stored
+from stopweave.sources.readers import day_folders, read_days, rejected_values
 from stopweave.sources.writers import write_table
 
 TRIP_ORDER = ("route", "busCode", "tripNum", "timestamp_s")
@@ -21,21 +20,23 @@ def build_od(
     per: str = "trip",
     missing_as_zero: bool = False,
     fmt: str = "parquet",
+    days: tuple[date, date] | None = None,
 ) -> None:
     """Write all tables of the job for the days in ``visits``.
 
     Every key holds the date, so any number of days go through together. Trip
     stops and legs feed several tables and are stored once for this run; a day
-    run again replaces its folders.
+    run again replaces its folders, and days from the first to the last of ``days``
+    that have no rows any more lose theirs.
     """
     stops = stored(alighting.trip_stops(visits))
     chain = boardings.trip_chain(boardings.dedup_taps(boardings.boardings(visits)))
     od = stored(alighting.infer_alightings(chain, stops, per=per))
-    write_table(od, f"{output}/od/trips_od", fmt=fmt)
-    write_table(flows.trip_origins(od), f"{output}/od/trips_origins", fmt=fmt)
-    write_table(flows.trip_destinations(od), f"{output}/od/trips_destinations", fmt=fmt)
+    write_table(od, f"{output}/od/trips_od", fmt=fmt, days=days)
+    write_table(flows.trip_origins(od), f"{output}/od/trips_origins", fmt=fmt, days=days)
+    write_table(flows.trip_destinations(od), f"{output}/od/trips_destinations", fmt=fmt, days=days)
     loads = flows.crowdedness(stops, flows.stop_flows(od), missing_as_zero)
-    write_table(loads, f"{output}/od/crowdedness", sort_by=TRIP_ORDER, fmt=fmt)
+    write_table(loads, f"{output}/od/crowdedness", sort_by=TRIP_ORDER, fmt=fmt, days=days)
 
 
 def run_od_job(
@@ -48,6 +49,15 @@ def run_od_job(
     missing_as_zero: bool = False,
     fmt: str = "parquet",
 ) -> None:
-    """Read the CSV day folders from ``start`` to ``end`` and build all tables."""
-    visits = between_dates(read_days(spark, source, start, end), start, end)
-    build_od(visits, output, per, missing_as_zero, fmt)
+    """Read the CSV day folders from ``start`` to ``end`` and build all tables.
+
+    Folders decide what is read: a record keeps its own date, also one after
+    midnight in the folder of the day before. The typed records are stored
+    once, and trip stops and taps read their own columns of them. Values that
+    are not of their column's type are counted in ``od/rejected_values``.
+    """
+    with job_tables(spark):
+        paths = day_folders(source, start, end)
+        write_table(rejected_values(spark, paths), f"{output}/od/rejected_values", partition_by=(), fmt=fmt)
+        visits = stored(read_days(spark, source, start, end))
+        build_od(visits, output, per, missing_as_zero, fmt, (start, end))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,14 +16,15 @@ _MB = 1024 * 1024
 
 #: Reading tasks times shuffle partitions is the number of shuffle blocks a
 #: cluster has to track; beyond this many of each, partitions grow instead.
-_MOST_PARTITIONS = 50_000
+_MOST_PARTITIONS = 100_000
 
 
 def settings(input_bytes: int, cores: int, partition_mb: int = 256) -> dict[str, str]:
     """Settings for jobs reading ``input_bytes`` on ``cores`` cores.
 
-    Shuffle partitions are sized to be sorted in an executor's memory and are
-    never fewer than the cores; adaptive execution merges small ones, splits
+    Shuffle partitions have ``partition_mb`` of input and are never fewer than
+    the cores. Above 100,000 of them, that is 25 TB, they grow, to 1 GB at 100 TB,
+    and sorts spill to disk instead of the driver tracking too many blocks; adaptive execution merges small ones, splits
     skewed ones and broadcasts a join side only after measuring it.
     """
     size = max(partition_mb * _MB, math.ceil(input_bytes / _MOST_PARTITIONS))
@@ -44,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = context.getCheckpointDir()
     if folder is None:
@@ -60,6 +64,23 @@ def stored(df: DataFrame) -> DataFrame:
     run again, also not after a lost executor, and readers take only the
     columns they need.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = f"{_folders[-1] if _folders else shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Folders of the jobs that run now, the innermost last.
+_folders: list[str] = []
+
+
+@contextmanager
+def job_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables stored inside are removed at the end, also after an error."""
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _folders.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,10 @@ day, wrong types would be the price."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,37 +34,109 @@ def day_folders(base: str, start: date, end: date) -> str:
     return f"{base.rstrip('/')}/{{{','.join(day.strftime(DAY_FOLDER) for day in days)}}}"
 
 
+def _header_of(spark: SparkSession, path: str) -> str:
+    """The first line of a file; empty for an empty one."""
+    first = spark.read.text(path).limit(1).collect()
+    return first[0][0] if first else ""
+
+
+def _raw_csv(
+    spark: SparkSession, paths: str | Sequence[str], mode: str, base: str | None = None
+) -> DataFrame:
+    """All columns as text, each file read by its own header.
+
+    Files with the same header line are read together. First lines are looked
+    up by a few reads at a time, each of which stops after one line.
+    """
+    files = [unquote(f) for f in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()]
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda path: _header_of(spark, path), files))
+    alike: dict[str, list[str]] = {}
+    for path, header in zip(files, headers):
+        if header:
+            alike.setdefault(header, []).append(path)
+    if not alike:
+        raise ValueError(f"no CSV file with a header in {paths}")
+    reader = spark.read.options(header=True, nullValue=NULL_MARKER, mode=mode)
+    if base:
+        reader = reader.option("basePath", base)
+    parts = [reader.csv(same) for same in alike.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _typed(column: Column, kind: T.DataType, strict: bool) -> Column:
+    """Text as ``kind``; whole numbers may be written with a fraction of zero, as ``7.0``."""
+    if not isinstance(kind, T.IntegralType):
+        return column.cast(kind) if strict else column.try_cast(kind)
+    number = column.try_cast("double")
+    whole = F.when(number == F.floor(number), number.try_cast(kind))
+    plain = column.try_cast(kind)
+    if strict:
+        return F.coalesce(plain, whole, column.cast(kind))
+    return F.coalesce(plain, whole)
+
+
 def _csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, mode: str
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    mode: str,
+    base: str | None = None,
 ) -> DataFrame:
     """CSV matched by column name and cast to the declared types.
 
-    Columns may come in any order, be absent, or be more than declared. A value
-    of the wrong type becomes null, or an error if ``mode`` is FAILFAST.
+    Columns may come in any order, which may differ between files, be absent, or be
+    more than declared; absent ones are null. A value of the wrong type
+    becomes null, or an error if ``mode`` is FAILFAST.
     """
-    raw = spark.read.csv(
-        paths if isinstance(paths, str) else list(paths),
-        header=True,
-        nullValue=NULL_MARKER,
-        mode=mode,
-    )
+    raw = _raw_csv(spark, paths, mode, base)
     kinds = {field.name: field.dataType for field in schema}
+    strict = mode.upper() == "FAILFAST"
 
     def typed(name: str) -> Column:
         if name not in kinds or raw.schema[name].dataType == kinds[name]:
             return F.col(name)
-        column = F.col(name)
-        strict = mode.upper() == "FAILFAST"
-        return (column.cast if strict else column.try_cast)(kinds[name]).alias(name)
+        return _typed(F.col(name), kinds[name], strict).alias(name)
 
     return raw.select(*(typed(name) for name in raw.columns))
 
 
-def _identified(df: DataFrame) -> DataFrame:
-    """``df`` with a ``visit_id``: a hash of the whole record unless it has one."""
+def _with_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with typed nulls for declared columns that it lacks."""
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns}
+    return df.withColumns(absent) if absent else df
+
+
+def rejected_values(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = STOP_VISITS_CSV
+) -> DataFrame:
+    """``(date, column, rejected)``: values that are not of the declared type, which readers null."""
+    raw = _raw_csv(spark, paths, "PERMISSIVE")
+    day = F.col("date") if "date" in raw.columns else F.lit(None).cast("string")
+    checks = [
+        F.struct(
+            F.lit(f.name).alias("column"),
+            (F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType, False).isNull()).cast("long").alias("n"),
+        )
+        for f in schema
+        if f.name in raw.columns and not isinstance(f.dataType, T.StringType)
+    ]
+    counted = raw.select(day.alias("date"), F.inline(F.array(*checks)))
+    return counted.groupBy("date", "column").agg(F.sum("n").alias("rejected")).where("rejected > 0")
+
+
+def _identified(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """``df`` with a ``visit_id`` unless it has one: a hash of the declared columns.
+
+    Columns go in by name, and nulls as such, so neither the order of
+    columns, nor extra ones, nor a null moved to another column matter.
+    """
     if "visit_id" in df.columns:
         return df
-    return df.withColumn("visit_id", F.xxhash64(*(F.col(c) for c in df.columns)))
+    names = sorted(f.name for f in schema) if schema else sorted(df.columns)
+    values = [F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string") for c in names]
+    marked = [F.coalesce(F.concat(F.lit("="), value), F.lit("-")) for value in values]
+    return df.withColumn("visit_id", F.xxhash64(*marked))
 
 
 def read_stop_visits(
@@ -73,12 +148,12 @@ def read_stop_visits(
 ) -> DataFrame:
     """Stop records of any number of day folders, as one typed table.
 
-    ``visit_id`` is a hash of the whole record, so a record keeps its id
+    ``visit_id`` is a hash of the declared columns, so a record keeps its id
     wherever and however often it is read. ``numeric_route`` turns route codes
     into numbers and leaves those that are none null.
     """
     raw = _csv(spark, paths, schema, mode)
-    typed = _identified(raw).withColumns(
+    typed = _identified(_with_declared(raw, schema), schema).withColumns(
         {
             "date": F.to_date(F.try_to_timestamp("date", F.lit(DAY_FORMAT))),
             "timestamp_s": seconds_of_day(F.col("timestamp")),
@@ -107,7 +182,7 @@ def read_table(
 ) -> DataFrame:
     """A table written by ``write_table``; a range of dates prunes its folders."""
     if fmt == "csv":
-        table = _csv(spark, path, schema or T.StructType(), "PERMISSIVE")
+        table = _csv(spark, path, schema or T.StructType(), "PERMISSIVE", base=path)
     else:
         reader = spark.read if schema is None else spark.read.schema(schema)
         table = reader.format(fmt).load(path)
@@ -125,7 +200,7 @@ def read_crowdedness(spark: SparkSession, path: str, fmt: str = "parquet", **dat
     if fmt != "csv":
         loads = read_table(spark, path, None, fmt, **dates)
     else:
-        raw = _csv(spark, path, _without(CROWDEDNESS, "date"), "PERMISSIVE")
+        raw = _csv(spark, path, _without(CROWDEDNESS, "date"), "PERMISSIVE", base=path)
         loads = _dated(raw, "date", **dates)
         if "timestamp_s" not in loads.columns:
             loads = loads.withColumn("timestamp_s", seconds_of_day(F.col("timestamp")))
@@ -140,11 +215,15 @@ def _without(schema: T.StructType, name: str) -> T.StructType:
 def _dated(
     df: DataFrame, column: str, start: date | None = None, end: date | None = None
 ) -> DataFrame:
-    """``column`` as a date, from a date or from seconds since 1970, in a range."""
+    """``column`` as a date, from a date or from seconds since 1970 in UTC, in a range.
+
+    The session's time zone has no part in it.
+    """
     if not isinstance(df.schema[column].dataType, T.DateType):
         text = F.col(column).cast("string")
-        seconds = F.timestamp_seconds(text.try_cast("bigint"))
-        df = df.withColumn(column, F.coalesce(text.try_cast("date"), seconds.cast("date")))
+        days = F.floor(text.try_cast("bigint") / 86_400).cast("int")
+        dated = F.coalesce(text.try_cast("date"), F.date_from_unix_date(days))
+        df = df.withColumn(column, dated)
     if start is None and end is None:
         return df
     return between_dates(df, start or date.min, end or date.max, column)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,8 +15,13 @@ def write_table(
     partition_by: Sequence[str] = ("date",),
     sort_by: Sequence[str] = (),
     fmt: str = "parquet",
+    days: tuple[date, date] | None = None,
+    replace: str = "partitions",
 ) -> None:
-    """Write ``df``, replacing only the partitions it has rows for.
+    """Write ``df``, replacing the partitions it has rows for.
+
+    With ``days``, the first and last day of the run, days in between without rows
+    are removed as well; ``replace="table"`` removes everything that was there.
 
     Rows of a partition are brought together first, so that a day becomes a few
     files of good size instead of one per task; Spark splits a day that is
@@ -25,14 +31,32 @@ def write_table(
         df = df.hint("rebalance", *partition_by)
     if partition_by or sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    whole = replace == "table" or not partition_by
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if days and not whole:
+        present = {str(row[0]) for row in df.select("date").distinct().collect()}
+        _clear_days(df.sparkSession, path, days, present)
     writer.format(fmt).save(path)
 
 
+def _clear_days(
+    spark: SparkSession, path: str, days: tuple[date, date], present: set[str]
+) -> None:
+    """Remove the folders of days from the first to the last that are not ``present``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return
+    for entry in system.listStatus(folder):
+        key, _, day = entry.getPath().getName().partition("=")
+        if key == "date" and str(days[0]) <= day <= str(days[1]) and day not in present:
+            system.delete(entry.getPath(), True)
+
+
 def write_report(metrics: DataFrame, path: str) -> None:
     """Metrics as lines of text, one report per row of ``metrics``."""
     # The lines of a model report.

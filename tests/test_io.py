@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import glob
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from stopweave.schemas import STOP_VISITS_CSV
-from stopweave.session import settings, shared_folder, stored
+from stopweave.session import job_tables, settings, shared_folder, stored
 from stopweave.sources import readers, writers
 
 HEADER = (
@@ -124,10 +125,67 @@ def test_stored_table_lies_in_the_shared_folder(spark):
 def test_settings_grow_with_the_input():
     small, large = settings(10**6, 8), settings(100 * 10**12, 4000)
     assert small["spark.sql.shuffle.partitions"] == "8"
-    assert large["spark.sql.shuffle.partitions"] == "50000"
-    assert large["spark.sql.files.maxPartitionBytes"] == str(2 * 10**9)
+    assert large["spark.sql.shuffle.partitions"] == "100000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(10**9)
 
 
 def test_schema_of_the_delivered_files_is_text_where_times_are():
     kinds = {f.name: f.dataType.simpleString() for f in STOP_VISITS_CSV}
     assert kinds["timestamp"] == kinds["cardTimestamp"] == kinds["route"] == "string"
+
+
+COLUMNS = ("tripNum", "stopPointId", "timestamp", "date", "route", "busCode", "shapeLat", "shapeLon", "cardNum", "cardTimestamp")
+RECORD = dict(zip(COLUMNS, ("7.0", "1", "06:00:00", "2024_01_01", "020", "B1", "-25.4", "-49.2", "77", "06:00:00")))
+
+
+def write_columns(folder, names, *records):
+    folder.mkdir(parents=True)
+    lines = [",".join(names), *(",".join(r.get(n, "-") for n in names) for r in records)]
+    (folder / "part-0.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    turned = ("stopPointId", "tripNum", "shapeLon", "shapeLat", *(c for c in reversed(COLUMNS) if c not in ("stopPointId", "tripNum", "shapeLon", "shapeLat")))
+    no_cards = tuple(c for c in COLUMNS if not c.startswith("card"))
+    write_columns(tmp_path / "2024_01_01", COLUMNS, RECORD)
+    write_columns(tmp_path / "2024_01_02", turned, RECORD | {"date": "2024_01_02"})
+    write_columns(tmp_path / "2024_01_03", no_cards, RECORD | {"date": "2024_01_03"})
+    together = readers.read_days(spark, str(tmp_path), date(2024, 1, 1), date(2024, 1, 3))
+    names = sorted(together.columns)
+    alone = [readers.read_stop_visits(spark, f"{tmp_path}/2024_01_0{k}").select(names) for k in (1, 2, 3)]
+    rows = together.select(names).collect()
+    assert sorted(map(str, rows)) == sorted(str(r) for df in alone for r in df.collect())
+    assert {(r.tripNum, r.stopPointId, r.shapeLat, r.shapeLon) for r in rows} == {(7, 1, -25.4, -49.2)}
+    assert {r.date.day: r.cardNum for r in rows} == {1: "77", 2: "77", 3: None}
+
+
+def test_ids_follow_names_and_nulls(spark, tmp_path):
+    write_columns(tmp_path / "a", COLUMNS, RECORD)
+    write_columns(tmp_path / "b", (*reversed(COLUMNS), "extra"), RECORD | {"extra": "1"})
+    write_columns(tmp_path / "c", COLUMNS, RECORD | {"tripNum": "-", "stopPointId": "7"}, RECORD | {"tripNum": "7", "stopPointId": "-"})
+    ids = {d: [r.visit_id for r in readers.read_stop_visits(spark, f"{tmp_path}/{d}").collect()] for d in "abc"}
+    assert ids["a"] == ids["b"] and len({*ids["a"], *ids["c"]}) == 3
+
+
+def test_rejected_values_are_counted(spark, tmp_path):
+    write_columns(tmp_path / "a", COLUMNS, RECORD, RECORD | {"tripNum": "7.5"}, RECORD | {"tripNum": "x", "shapeLat": "y"})
+    got = {(r.date, r.column): r.rejected for r in readers.rejected_values(spark, f"{tmp_path}/a").collect()}
+    assert got == {("2024_01_01", "tripNum"): 2, ("2024_01_01", "shapeLat"): 1}
+
+
+def test_emptied_days_and_tables_disappear(spark, tmp_path):
+    days = spark.range(10).withColumn("date", F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")))
+    path = str(tmp_path / "t")
+    writers.write_table(days, path)
+    writers.write_table(days.where("id in (2, 3)"), path, days=(date(2024, 1, 3), date(2024, 1, 6)))
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 6, 7, 8, 9]
+    writers.write_table(days.where("id = 1"), path, replace="table")
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_tables_of_a_job_are_removed(spark):
+    with pytest.raises(ZeroDivisionError), job_tables(spark) as folder:
+        assert stored(spark.range(3)).count() == 3
+        assert glob.glob(f"{folder.removeprefix('file:')}/table-*")
+        raise ZeroDivisionError
+    assert not glob.glob(f"{folder.removeprefix('file:')}*")
