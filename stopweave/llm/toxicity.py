@@ -95,14 +95,14 @@ def _bags(batches, chosen):
             )
 
 
-def _learn(rows: list, n_features: int) -> tuple[float, np.ndarray]:
+def _learn(rows: pa.Table, n_features: int) -> tuple[float, np.ndarray]:
     """Weights of the least regularised loss of the noisy-or, by Adam over all rows."""
-    label = np.array([r["label"] for r in rows], float)
-    weight = np.array([r["weight"] for r in rows], float)
-    plain = np.array([r["plain"] for r in rows], float)
-    owner = np.array([i for i, r in enumerate(rows) for _ in r["bags"]], np.int64)
-    sizes = np.array([len(x) for r in rows for x in r["bags"]], np.int64)
-    flat = np.array([f for r in rows for x in r["bags"] for f in x], np.int64)
+    label, weight, plain = (rows.column(c).to_numpy().astype(float) for c in ("label", "weight", "plain"))
+    bags = pa.concat_arrays(rows.column("bags").chunks)
+    owner = np.repeat(np.arange(len(rows)), pa.compute.list_value_length(bags).to_numpy())
+    sentences = bags.flatten()
+    sizes = pa.compute.list_value_length(sentences).to_numpy()
+    flat = sentences.flatten().to_numpy()
     sentence = np.repeat(np.arange(len(sizes)), sizes)
     w, b = np.zeros(n_features), -4.0
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
@@ -156,7 +156,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     chosen = [x for (x,) in top.select("feature").collect()]
     place = spark.sparkContext.broadcast({x: i for i, x in enumerate(chosen)})
     bags = learned.mapInArrow(lambda batches: _bags(batches, place), "label int, weight double, plain bigint, bags array<array<int>>")
-    bias, weights = _learn(bags.collect(), len(chosen))
+    bias, weights = _learn(bags.toArrow(), len(chosen))
     return ToxicityModel(bias, {x: float(w) for x, w in zip(chosen, weights) if abs(w) > 1e-3})
 
 
