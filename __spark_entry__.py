@@ -33,7 +33,7 @@ from stopweave.sources.events import visits_from_events
 from stopweave.sources.readers import DAY_FORMAT, NULL_MARKER, read_stop_visits
 
 try:
-    from stopweave.llm import queries as corpus
+    import stopweave.llm.queries as corpus
 except ModuleNotFoundError as missing:
     # The corpus operators and their pipeline are optional: the rest works without these files.
     if missing.name not in ("stopweave.llm", "stopweave.llm.queries", "corpus_pipeline"):
