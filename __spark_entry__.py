@@ -347,6 +347,36 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tuning_feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector of the tuning models, fitted on the days before the test days."""
+    kept = stored(kept_legs(spark, sf_dir))
+    train, _ = features.temporal_split(kept, TRAIN_START, TRAIN_END, TEST_END)
+    pipeline = features.feature_pipeline(features.TUNING_NUMBERS, features.TUNING_CATEGORIES)
+    parts = vector_to_array("features")
+    columns_17 = (F.round(parts[i], 6).alias(f"f{i:02d}") for i in range(17))
+    return pipeline.fit(train).transform(kept).select("visit_id", *columns_17)
+
+
+def fitted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of label and training prediction for each label; a least-squares fit keeps the mean."""
+    split = features.hash_split(stored(load_legs(spark, sf_dir)))
+    _, train, test = featured_split(*split, features.TRAINING_NUMBERS, features.TRAINING_CATEGORIES)
+    test = stored(test)
+    reports = []
+    for label, trainer in TRAINERS.items():
+        model = trainer(train, label)
+        known = evaluation.score(model, train.where(F.col(label).isNotNull()), [label])
+        means = known.agg(
+            F.count(F.lit(1)).alias("n_train"),
+            F.round(F.avg(label), 6).alias("mean_label"),
+            F.round(F.avg("prediction"), 6).alias("mean_prediction"),
+        )
+        tested = evaluation.score(model, test, [label]).agg(F.count("prediction").alias("n_test"))
+        # One row on each side.
+        reports.append(means.crossJoin(tested).select(F.lit(label).alias("label"), "*"))
+    return columns.union_tables(reports)
+
+
 def predict(label: str) -> Query:
     """Train on a share of the legs and predict the label of the others."""
 
@@ -436,6 +466,8 @@ def transit_queries() -> dict[str, Query]:
         "minmax_scaled": minmax_scaled,
         "string_index": string_index,
         "feature_vector": feature_vector,
+        "tuning_feature_vector": tuning_feature_vector,
+        "fitted_means": fitted_means,
         "predict_duration": predict("duration"),
         "predict_crowdedness": predict("crowdedness"),
         "predict_pacing": predict("pacing"),

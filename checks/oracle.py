@@ -252,6 +252,7 @@ def statements() -> dict[str, str]:
         "round(leg_duration, 6) AS leg_duration, round(dist, 6) AS dist"
     )
     train_rows = "(SELECT * FROM shared WHERE in_train) t"
+    dated_rows = "(SELECT * FROM kept WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20') t"
     return {
         "scan_stop_visits": _with("""
 SELECT visit_id, date, route, busCode, tripNum, stopPointId, timestamp_s, cardNum,
@@ -413,4 +414,37 @@ LEFT JOIN day_index d ON s.weekDay = d.value""",
             period_index=_INDEX.format(column="periodOrig", rows=train_rows),
             day_index=_INDEX.format(column="weekDay", rows=train_rows),
         ),
+        "tuning_feature_vector": _with(
+            f"""
+SELECT visit_id, CAST(busStopIdOrig AS double) AS f00, CAST(busStopIdDest AS double) AS f01,
+       CAST(hourOrig AS double) AS f02, CAST(isRushOrig AS double) AS f03,
+       CAST(weekOfYear AS double) AS f04, CAST(dayOfMonth AS double) AS f05,
+       CAST(month AS double) AS f06, CAST(isHoliday AS double) AS f07,
+       CAST(isWeekend AS double) AS f08, CAST(isRegularDay AS double) AS f09,
+       {_SCALED['lat_orig']} AS f10, {_SCALED['lon_orig']} AS f11,
+       {_SCALED['lat_dest']} AS f12, {_SCALED['lon_dest']} AS f13,
+       coalesce(p.idx, CAST((SELECT count(*) FROM period_index) AS double)) AS f14,
+       coalesce(d.idx, CAST((SELECT count(*) FROM day_index) AS double)) AS f15,
+       coalesce(r.idx, CAST((SELECT count(*) FROM route_index) AS double)) AS f16
+FROM kept k CROSS JOIN extremes
+LEFT JOIN period_index p ON k.periodOrig = p.value
+LEFT JOIN day_index d ON k.weekDay = d.value
+LEFT JOIN route_index r ON CAST(k.route AS varchar) = r.value""",
+            extremes=SUBQUERIES["extremes"].format(rows=dated_rows),
+            period_index=_INDEX.format(column="periodOrig", rows=dated_rows),
+            day_index=_INDEX.format(column="weekDay", rows=dated_rows),
+            route_index=_INDEX.format(column="CAST(route AS varchar)", rows=dated_rows),
+        ),
+        "fitted_means": _with(
+            " UNION ALL ".join(
+                f"""
+SELECT '{c}' AS label, count({c}) FILTER (in_train) AS n_train,
+       round(avg({c}) FILTER (in_train), 6) AS mean_label,
+       round(avg({c}) FILTER (in_train), 6) AS mean_prediction,
+       count(*) FILTER (NOT in_train) AS n_test
+FROM load_shared"""
+                for c in ("duration", "crowdedness", "pacing", "speed")
+            ),
+            load_shared=SUBQUERIES["shared"].replace("FROM kept", "FROM load_kept"),
+        ),
     }
