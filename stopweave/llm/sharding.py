@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from stopweave.session import stored
 SHARDS = 8
 #: Capacities tried in one pass over the groups.
 TRIED = 128
+#: Ends of groups near the cuts that the driver may hold to finish the search.
+HELD = 100_000
 #: Equal texts share these; texts that differ hardly ever do, and would just stay together.
 ORDER = ["_hash", "_crc", "_bytes"]
 
@@ -56,22 +59,65 @@ def _greedy(ends: DataFrame, capacities: list[int], shards: int) -> list[list[in
     return cuts
 
 
-def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int) -> Cuts:
+def _cuts_of(ends: list[int], capacity: int, shards: int) -> list[int]:
+    """The greedy cuts among sorted ``ends``, which hold all that can be cuts."""
+    cuts, reached = [], 0
+    for _ in range(shards):
+        at = bisect_right(ends, reached + capacity)
+        if not at or ends[at - 1] <= reached:
+            break
+        reached = ends[at - 1]
+        cuts.append(reached)
+    return cuts
+
+
+def _padded(cuts: list[int], total: int, shards: int) -> list[int]:
+    """A cut for each shard; all that follow the end of the rows stand there."""
+    return [*cuts, *[total] * (shards - len(cuts))]
+
+
+def minimax_cuts(
+    ends: DataFrame, total: int, largest: int, shards: int, held: int = HELD
+) -> Cuts:
     """The least capacity with which ``shards`` runs of groups hold all.
 
     ``ends(end)``: the running sum of sizes at the end of each group. No shard can
     be under the largest group or an equal share; the two together always do.
+    A cut never moves back as the capacity grows, so those of the bounds of the search
+    bracket it. Once no more than ``held`` groups end inside the brackets, their ends alone
+    finish the search; until then each pass over all groups tries ``TRIED`` capacities.
     """
+    if not total:
+        return Cuts(largest, [])
     low = max(largest, -(-total // shards))
     high = max(low, -(-total // shards) + largest)
-    while low < high:
+    # A shard lacks less than one group of its capacity.
+    begin = [min(total, k * (low - largest)) for k in range(1, shards + 1)]
+    end = [min(total, k * high) for k in range(1, shards + 1)]
+    while True:
+        inside = F.lit(False)
+        for a, b in zip(begin, end, strict=True):
+            inside = inside | F.col("end").between(a, b)
+        near = ends.where(inside)
+        if near.count() <= held:
+            few = sorted(e for (e,) in near.collect())
+            break
+        if low >= high:
+            return Cuts(low, [c for c in _greedy(ends, [low], shards)[0] if c < total])
         step = max(1, -(-(high - low) // TRIED))
-        tried = list(range(low, high, step))
-        fits = [bool(c) and c[-1] == total for c in _greedy(ends, tried, shards)]
-        first = fits.index(True) if True in fits else len(tried)
-        low, high = (tried[first - 1] + 1 if first else low), (tried[first] if first < len(tried) else high)
-    cuts = _greedy(ends, [low], shards)[0] if total else []
-    return Cuts(low, [c for c in cuts if c < total])
+        tried = [*range(low, high, step), high]
+        cuts = _greedy(ends, tried, shards)
+        first = next(i for i, c in enumerate(cuts) if c and c[-1] == total)
+        if first:
+            low, begin = tried[first - 1] + 1, _padded(cuts[first - 1], total, shards)
+        high, end = tried[first], _padded(cuts[first], total, shards)
+    while low < high:
+        middle = (low + high) // 2
+        if _cuts_of(few, middle, shards)[-1:] == [total]:
+            high = middle
+        else:
+            low = middle + 1
+    return Cuts(low, [c for c in _cuts_of(few, low, shards) if c < total])
 
 
 def shard_of(before: Column, cuts: Cuts) -> Column:

@@ -203,6 +203,21 @@ def test_sharding(docs, nothing):
     assert all(r.shard == shards[r.doc_id] for r in sharding.with_shards(docs).select("doc_id", "shard").collect())
 
 
+@pytest.mark.parametrize("held", [-1, 3, 40, 1000])
+@pytest.mark.parametrize("hot", [0, 90_000])
+def test_capacity_with_few_ends_held(spark, held, hot):
+    rng = random.Random(hot)
+    sizes = [rng.randrange(1, 3000) for _ in range(120)] + [hot] * bool(hot)
+    rng.shuffle(sizes)
+    ends = list(np.cumsum(sizes).tolist())
+    table = spark.createDataFrame([(e,) for e in ends], "end long").repartition(2)
+    cuts = sharding.minimax_cuts(table, ends[-1], max(sizes), 8, held)
+    assert cuts.capacity == brute_capacity(sizes, 8)
+    edges = [0, *cuts.starts, ends[-1]]
+    assert set(edges[1:]) <= set(ends) and len(cuts.starts) < 8
+    assert max(b - a for a, b in zip(edges, edges[1:])) <= cuts.capacity
+
+
 def test_positions(spark):
     df = spark.createDataFrame([(k % 7, k) for k in range(200)], "k int, s long")
     got = ordering.ordered_positions(df, ["k", "s"], "s").orderBy("pos").collect()
