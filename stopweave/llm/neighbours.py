@@ -2,9 +2,9 @@
 
 Vectors start with neighbours from buckets of random hyperplanes. In each round the
 neighbours of a vector, and those it is a neighbour of, are compared with one another, and
-each keeps its nearest. Lists full of links are enlarged. Links at or over the
-threshold make components; inside these all links are counted exactly, block
-by block. A sample compared with all vectors audits the recall.
+each keeps its nearest. Links at or over the threshold make components. No list or
+bucket decides the result: at last all vectors of a label are compared, block by block,
+which counts every link and joins the components between which the graph has none.
 """
 
 from __future__ import annotations
@@ -23,10 +23,11 @@ THRESHOLD = 0.93
 NEIGHBOURS = 10
 TABLES = 6
 BUCKET = 256
-BLOCK = 256
 ROUNDS = 3
-AUDITED = 200
-RECALL = 0.98
+#: Least and most vectors of a block; blocks grow with the largest label, so that each
+#: vector is sent to few.
+LEAST_BLOCK, MOST_BLOCK = 1024, 8192
+STRIP = 256
 
 
 def _unit(column) -> np.ndarray:
@@ -72,20 +73,40 @@ def _local_joins(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": np.r_[u, v], "v": np.r_[v, u], "sim": np.r_[s, s]}).drop_duplicates(["u", "v"])
 
 
+def _packed(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block as one row."""
+    vectors = np.stack(rows["vec"].to_numpy()).astype(np.float32)
+    held = {c: [rows[c].to_numpy().astype(np.int64).tobytes()] for c in ("node", "n", "root")}
+    return pd.DataFrame({c: rows[c].iloc[:1].to_numpy() for c in ("label", "dim", "blk", "blocks")} | held | {"vec": [vectors.tobytes()]})
+
+
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    vectors = np.frombuffer(row.vec, np.float32).reshape(-1, row.dim).astype(np.float64)
+    node, n, root = (np.frombuffer(x, np.int64) for x in (row.node, row.n, row.root))
+    return node, n, root, vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 def _block_links(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """How many vectors of the other block, or of its own, each is linked with."""
-    i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-    left = rows[rows["blk"] == i]
-    right = rows[rows["blk"] == j]
-    if not len(left) or not len(right):
-        return pd.DataFrame({"node": [], "links": []})
-    linked = _unit(left["vec"]) @ _unit(right["vec"]).T >= threshold
-    if i == j:
-        np.fill_diagonal(linked, False)
-        return pd.DataFrame({"node": left["node"], "links": linked @ right["n"].to_numpy()})
-    return pd.DataFrame(
-        {"node": pd.concat([left["node"], right["node"]]), "links": np.r_[linked @ right["n"].to_numpy(), left["n"].to_numpy() @ linked]}
-    )
+    """How many vectors of the other block, or of its own, each is linked with, and linked roots that differ."""
+    blocks = [_unpacked(row) for row in rows.sort_values("blk").itertuples()]
+    (node, n, root, left), (node2, n2, root2, right) = blocks[0], blocks[-1]
+    own = len(blocks) == 1
+    counts, counts2, joined = np.zeros(len(node), np.int64), np.zeros(len(node2), np.int64), []
+    for a in range(0, len(node), STRIP):
+        linked = left[a : a + STRIP] @ right.T >= threshold
+        if own:
+            linked[np.arange(len(linked)), a + np.arange(len(linked))] = False
+        else:
+            counts2 += n[a : a + STRIP] @ linked
+        counts[a : a + STRIP] = linked @ n2
+        i, j = np.nonzero(linked & (root[a : a + STRIP, None] != root2[None]))
+        joined.append(np.unique(np.stack([root[a + i], root2[j]], axis=1), axis=0))
+    found = pd.DataFrame({"node": node, "links": counts})
+    if not own:
+        found = pd.concat([found, pd.DataFrame({"node": node2, "links": counts2})])
+    pairs = np.unique(np.concatenate(joined), axis=0)
+    edges = pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]}, dtype="Int64")
+    return pd.concat([found[found["links"] > 0].astype("Int64"), edges])[["node", "links", "u", "v"]]
 
 
 def _nearest(edges: DataFrame, most: int, threshold: float) -> DataFrame:
@@ -122,49 +143,32 @@ def _round(graph: DataFrame, nodes: DataFrame, n: int, threshold: float) -> Data
     return _nearest(graph.union(found), NEIGHBOURS, threshold)
 
 
-def _linked(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """``(node, root, links)``: components of the links found, and all links inside them."""
-    # Rounding apart, what the blocks count is decided on the same products.
-    edges = graph.where(F.col("sim") >= threshold).select("u", "v")
-    comps = stored(connected_components(edges))
-    sizes = comps.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = comps.join(sizes, "root").join(nodes.select("node", "n", "vec"), "node")
-    members = members.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _linked(graph: DataFrame, nodes: DataFrame, largest: int, threshold: float) -> DataFrame:
+    """``(node, root, links)`` of all nodes: their components and all their links.
+
+    Every pair of a label is compared once, so nothing hangs on what ``graph`` holds; what
+    it has found need not be joined again.
+    """
+    comps = connected_components(graph.where(F.col("sim") >= threshold).select("u", "v"))
+    rooted = stored(nodes.join(comps, "node", "left").select("node", "label", "dim", "n", "vec", F.coalesce("root", "node").alias("root")))
+    block = min(MOST_BLOCK, max(LEAST_BLOCK, largest // 16))
+    sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    members = rooted.join(sizes, ["label", "dim"]).withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    packed = members.groupBy("label", "dim", "blk").applyInPandas(
+        _packed, "label int, dim int, blk int, blocks int, node binary, n binary, root binary, vec binary"
+    )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = members.withColumn("other", other).select(
-        "root", "node", "n", "vec", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")
+    spread = stored(packed).withColumn("other", other).withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
+    compared = stored(
+        spread.groupBy("label", "dim", "i", "j").applyInPandas(
+            lambda rows: _block_links(rows.drop(columns=["label", "blocks", "other", "i", "j"]), threshold), "node bigint, links bigint, u bigint, v bigint"
+        )
     )
-    counted = spread.groupBy("root", "i", "j").applyInPandas(lambda rows: _block_links(rows, threshold), "node bigint, links bigint")
-    links = counted.groupBy("node").agg(F.sum("links").alias("links"))
-    return stored(comps.join(links, "node", "left").select("node", "root", F.coalesce("links", F.lit(0)).alias("links")))
-
-
-def audit_recall(nodes: DataFrame, linked: DataFrame, threshold: float, audited: int = AUDITED) -> float:
-    """The share of all links of about ``audited`` vectors, chosen by hash, that were found."""
-    n = nodes.count()
-    chosen = nodes.where(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 20)) < math.ceil(audited / max(n, 1) * (1 << 20)))
-    # About ``audited`` rows at any size.
-    sample = chosen.join(linked.select("node", "links"), "node", "left").select("node", "label", "dim", "vec", F.coalesce("links", F.lit(0)).alias("links")).collect()
-    if not sample:
-        return 1.0
-    parts: dict = {}
-    for row in sample:
-        parts.setdefault((row.label, row.dim), []).append(row)
-    held = {key: (np.array([r.node for r in rows]), _unit(pd.Series([r.vec for r in rows]))) for key, rows in parts.items()}
-    unit = _unit
-
-    def count(frames):
-        for rows in frames:
-            total = 0
-            for key, part in rows.groupby(["label", "dim"]):
-                if key in held:
-                    ids, vectors = held[key]
-                    hits = (unit(part["vec"]) @ vectors.T >= threshold) & (part["node"].to_numpy()[:, None] != ids[None])
-                    total += int((hits * part["n"].to_numpy()[:, None]).sum())
-            yield pd.DataFrame({"links": [total]})
-
-    true = nodes.select("node", "label", "dim", "n", "vec").mapInPandas(count, "links bigint").agg(F.sum("links")).first()[0] or 0
-    return min(1.0, sum(r.links for r in sample) / true) if true else 1.0
+    links = compared.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
+    joined = connected_components(compared.where("u IS NOT NULL").select("u", "v"))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    whole = rooted.select("node", "root").join(joined, "root", "left").join(links, "node", "left")
+    return stored(whole.select("node", F.coalesce("_root", "root").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))
 
 
 def near_duplicate_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -184,16 +188,11 @@ def near_duplicate_vectors(embeddings: DataFrame, threshold: float = THRESHOLD)
     n = nodes.count()
     largest = nodes.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 1
     bits = max(1, math.ceil(math.log2(max(2, largest / 64))))
-    graph = None
-    for attempt in range(3):
-        start = _start(nodes, attempt, bits)
-        graph = _nearest(start if graph is None else graph.union(start), NEIGHBOURS, threshold)
-        for _ in range(ROUNDS):
-            graph = _round(graph, nodes, n, threshold)
-        linked = _linked(graph, nodes, threshold)
-        if audit_recall(nodes, linked, threshold) >= RECALL:
-            break
-    own = nodes.join(linked, "node", "left").select("node", "n", "least", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+    graph = _nearest(_start(nodes, 0, bits), NEIGHBOURS, threshold)
+    for _ in range(ROUNDS):
+        graph = _round(graph, nodes, n, threshold)
+    linked = _linked(graph, nodes, largest, threshold)
+    own = nodes.select("node", "n", "least").join(linked, "node")
     least = own.groupBy("root").agg(F.min("least").alias("component_id"))
     found = own.join(least, "root").select("node", (F.col("links") + F.col("n") - 1).alias("n_links"), "component_id")
     return rows.join(found, "node", "left").select(

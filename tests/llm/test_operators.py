@@ -365,6 +365,42 @@ def test_vectors(spark):
     assert neighbours.near_duplicate_vectors(table.limit(0)).count() == 0
 
 
+def test_vectors_of_tight_groups_joined_by_one_pair(spark):
+    rng = np.random.default_rng(6)
+    rows, size = [], 24
+
+    def at(turn, lean):
+        aside = rng.standard_normal(14)
+        return [math.cos(turn) * math.cos(lean), math.sin(turn) * math.cos(lean), *(aside / np.linalg.norm(aside) * math.sin(lean)).tolist()]
+
+    for group, (centre, end) in enumerate(((0, 2), (25, 23))):
+        rows.append((size * group, at(math.radians(end), 0), 0))
+        rows += [(size * group + k, at(math.radians(centre), math.radians(3)), 0) for k in range(1, size)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    unit = np.float64(np.float32([v for _, v, _ in rows]))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.93
+    assert links[:size, size:].sum() == 1 and links[:size, :size].all()
+    got = neighbours.near_duplicate_vectors(table).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, links[i].sum() - 1, 0) for i, *_ in rows}
+
+
+@pytest.mark.parametrize("least", [7, 1024])
+def test_links_of_vectors_do_not_need_the_graph(spark, monkeypatch, least):
+    monkeypatch.setattr(neighbours, "LEAST_BLOCK", least)
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((12, 8))
+    vectors = np.float32(base[np.arange(60) % 12] + 0.1 * rng.standard_normal((60, 8)))
+    nodes = spark.createDataFrame([(k, k % 2, 8, 1 + k % 3, v.tolist()) for k, v in enumerate(vectors)], "node long, label int, dim int, n long, vec array<float>")
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93) & (np.arange(60)[:, None] % 2 == np.arange(60) % 2) & ~np.eye(60, dtype=bool)
+    roots = brute_components(list(range(60)), lambda a, b: links[a, b])
+    empty = spark.createDataFrame([], "u long, v long, sim double")
+    got = neighbours._linked(empty, nodes, 30, 0.93).collect()
+    n = 1 + np.arange(60) % 3
+    assert {(r.node, r.root, r.links) for r in got} == {(k, roots[k], int(links[k] @ n)) for k in range(60)}
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
