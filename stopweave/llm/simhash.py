@@ -32,24 +32,28 @@ SHINGLE_WORDS = 3
 BUCKET = 512
 
 
-def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
-    """Bits set in more than half of the hashes of the shingles; 0 without words."""
+def shingle_hashes(text: bytes, shingle_words: int = SHINGLE_WORDS) -> np.ndarray:
+    """The hash of each run of so many lower-cased words, or of all of fewer words."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     span = min(shingle_words, len(words))
     digest = xxhash.xxh64_intdigest
     froms, tos = starts[: len(words) - span + 1].tolist(), ends[span - 1 :].tolist()
+    return np.fromiter((digest(joined[a:b], 42) for a, b in zip(froms, tos, strict=True)), "<u8", len(froms))
+
+
+def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+    """Bits set in more than half of the hashes of the shingles; 0 without words."""
+    hashes = shingle_hashes(text, shingle_words)
     counts = np.zeros(BITS, np.int64)
-    for k in range(0, len(froms), 1 << 14):
-        part = zip(froms[k : k + (1 << 14)], tos[k : k + (1 << 14)], strict=True)
-        hashes = np.array([digest(joined[a:b], 42) for a, b in part], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for k in range(0, len(hashes), 1 << 14):
+        bits = np.unpackbits(hashes[k : k + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(froms), bitorder="little").view("<u8")[0])
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def _fingerprints(batches, shingle_words: int):

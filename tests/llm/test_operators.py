@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stopweave.llm import (
     backoff, components, decontamination, fixity, licenses, mixing, neighbours, ordering, secretscan,
-    sharding, simhash, toxicity,
+    sharding, shingles, simhash, toxicity,
 )
 from stopweave.session import stored
 
@@ -401,6 +401,37 @@ def test_links_of_vectors_do_not_need_the_graph(spark, monkeypatch, least):
     assert {(r.node, r.root, r.links) for r in got} == {(k, roots[k], int(links[k] @ n)) for k in range(60)}
 
 
+def test_near_copies_of_a_few_changed_words_go(spark):
+    rng = random.Random(8)
+    texts = []
+    for k in range(30):
+        base = [f"v{rng.randrange(500)}" for _ in range(rng.randrange(3, 260))]
+        texts.append(" ".join(base))
+        for _ in range(k % 5):
+            copy = list(base)
+            for _ in range(rng.randrange(1, 7)):
+                copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(copy).upper())
+    line = " ".join(f"c{j}" for j in range(40))
+    texts += [f"{line} " + " ".join(f"d{k}x{j}" for j in range(k)) for k in range(1, 20)] + [None, " ", ""]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+
+    def grams(text):
+        w = (text or "").lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+
+    held = [grams(t) for t in texts]
+    alike = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
+    roots = brute_components(held, alike)
+    got = {r.doc_id: r.component_id for r in shingles.near_copies(table).collect()}
+    assert got == dict(enumerate(roots))
+    kept = corpus_pipeline.near_dedup_stage(spark, table, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots)) and len(set(roots)) < len(texts) - 20
+    far = [(simhash.fingerprint(texts[a].encode()) ^ simhash.fingerprint(texts[b].encode())).bit_count() > 2 for b, a in enumerate(roots) if a != b and (texts[b] or "").strip()]
+    assert sum(far) > 20
+    assert shingles.near_copies(table.limit(0)).count() == 0
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
