@@ -1,6 +1,6 @@
 """Secrets in documents: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long strings with a digit. The forest sees their length, changes between
+Candidates are long strings, and whatever is assigned to a name such as ``token``. The forest sees their length, changes between
 kinds of characters, how much of them dictionary words cover, the source they came
 from and the words around them, and learns from labelled findings.
 """
@@ -20,11 +20,18 @@ from pyspark.sql import functions as F
 from stopweave.llm.common import batches_of
 from stopweave.session import stored
 
-CANDIDATE = regex.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_+/=\-]*[0-9])[A-Za-z0-9_+/=\-]{12,}+")
+#: Long strings; an equals sign only pads their end.
+CANDIDATE = regex.compile(r"(?<![A-Za-z0-9_])(?=[_+/\-]*[A-Za-z0-9])[A-Za-z0-9_+/\-]{12,}+(?:={1,2}+(?![^\s\"'`,;.)\]}]))?")
 LETTERS = regex.compile(r"[a-z]{3,}")
 WORDS = regex.compile(r"[^\W\d_]{2,}")
-#: The assignment that marks a finding as a real secret where no labels are given.
-ASSIGNED = regex.compile(r"(?i)\b(?:token|secret|password|passwd|api_?key)\b\s*[=:]\s*[\"']?$")
+#: The assignment that marks a finding as a real secret where no labels are given. Names may
+#: be parts of longer ones and quoted; values are of any characters, up to the closing quote if quoted.
+ASSIGNMENT = regex.compile(
+    r"""(?i)(?:token|secret|password|passwd|api[_-]?key)(?:[_-][a-z0-9_-]*+)?["'`]?\s*+(?::=|=>|[=:])\s*+"""
+    r"""(?:"(?P<value>(?:[^"\\\n]|\\.){4,}+)"|'(?P<value>(?:[^'\\\n]|\\.){4,}+)'|["'`]?(?P<value>(?:(?!&[\w.-]+=)[^\s"'`]){4,}+))"""
+)
+#: Marks of the sentence or list that a value without quotes stands in.
+CLOSING = ",;.)]}>"
 #: Words kept as dictionary: the most frequent ones of all documents.
 DICTIONARY = 5000
 #: Labelled findings to learn from, in expectation; of more, a sample by hash.
@@ -78,19 +85,37 @@ def describe(candidate: str, before: str, after: str, source: str | None, known:
     return values
 
 
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """Begin and end of each candidate of a text, and whether it is assigned to a name."""
+    assigned = []
+    for found in ASSIGNMENT.finditer(text):
+        begin, end = found.span("value")
+        if text[end : end + 1] not in ("'", '"'):
+            end = begin + len(text[begin:end].rstrip(CLOSING))
+        if end > begin:
+            assigned.append((begin, end, True))
+    at, kept = 0, []
+    for found in CANDIDATE.finditer(text):
+        while at < len(assigned) and assigned[at][1] <= found.start():
+            at += 1
+        if at == len(assigned) or found.end() <= assigned[at][0]:
+            kept.append((*found.span(), False))
+    return sorted(assigned + kept)
+
+
 def _findings(batches, known_words):
     known = known_words.value
     for whole in batches:
         for batch in batches_of(whole, "text"):
             rows, begins, ends, marked, features = [], [], [], [], []
             for at, (text, source) in enumerate(zip(batch["text"].to_pylist(), batch["source"].to_pylist(), strict=True)):
-                for found in CANDIDATE.finditer(text or ""):
-                    before, after = text[max(0, found.start() - 60) : found.start()], text[found.end() : found.end() + 60]
+                for begin, end, assigned in spans(text or ""):
+                    before, after = text[max(0, begin - 60) : begin], text[end : end + 60]
                     rows.append(at)
-                    begins.append(found.start())
-                    ends.append(found.end())
-                    marked.append(int(bool(ASSIGNED.search(before))))
-                    features.append(describe(found.group(), before, after, source, known))
+                    begins.append(begin)
+                    ends.append(end)
+                    marked.append(int(assigned))
+                    features.append(describe(text[begin:end], before, after, source, known))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(pa.array(rows, pa.int64())), pa.array(begins, pa.int64()), pa.array(ends, pa.int64()), pa.array(marked, pa.int32()), pa.array(features, pa.list_(pa.float64()))],
                 names=["doc_id", "begin", "end", "marked", "features"],
@@ -100,8 +125,8 @@ def _findings(batches, known_words):
 def candidates(docs: DataFrame) -> DataFrame:
     """``(doc_id, begin, end, marked, features)`` of every candidate in whole texts.
 
-    ``docs(doc_id, text, source)``; null texts have none. ``marked``: an assignment to
-    a name such as ``token`` stands before it.
+    ``docs(doc_id, text, source)``; null texts have none. ``marked``: it is assigned to
+    a name such as ``token``. Long strings have 12 characters or more, assigned ones 4.
     """
     known = docs.sparkSession.sparkContext.broadcast(set(dictionary(docs)))
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
@@ -125,7 +150,7 @@ def scan_secrets(docs: DataFrame, labels: DataFrame | None = None, most: int = M
     columns = ["doc_id", "begin", "end", "marked"]
     if len(counts) < 2:
         score = F.lit(float(next(iter(counts), 0)))
-        return found.select(*columns, score.alias("score"), score > 0.5)
+        return found.select(*columns, score.alias("score"), (score > 0.5).alias("secret"))
     rate = F.lit(0.0)
     for label, n in counts.items():
         rate = F.when(F.col("label") == label, F.lit(min(1.0, most / 2 / n))).otherwise(rate)

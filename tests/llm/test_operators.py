@@ -342,6 +342,29 @@ def test_secrets(spark, nothing):
     assert secretscan.scan_secrets(nothing).count() == 0
 
 
+def test_secrets_of_any_characters(spark):
+    key = "04dbeb9a04dbeb9a"
+    texts = {
+        'secret = "wJalrXUtnFEMIKMDENGbPxRfiCYEXAMPLEKEY"': ["wJalrXUtnFEMIKMDENGbPxRfiCYEXAMPLEKEY"],
+        "password: p@ss.w0rd!x$9, then": ["p@ss.w0rd!x$9"],
+        "passwd='two words'": ["two words"],
+        f"see token={key}": [key],
+        f'{{"api_key": "{key}"}}': [key],
+        f"access_token: {key}.": [key],
+        f"AWS_SECRET_KEY={key}==": [f"{key}=="],
+        f"http://h/?token={key}&user=me": [key],
+        f"pay {key} now": [],
+        "plain words": [],
+    }
+    for text, expected in texts.items():
+        assert [text[a:b] for a, b, assigned in secretscan.spans(text) if assigned] == expected, text
+    assert ["pay 0123456789abcd== x"[a:b] for a, b, _ in secretscan.spans("pay 0123456789abcd== x")] == ["0123456789abcd=="]
+    assert len(secretscan.spans("the wJalrXUtnFEMIKMDENGb alone")) == 1
+    rows = [(i, t, "s") for i, t in enumerate(["pay 0123456789abcd now", "x"])]
+    lone = secretscan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert [(r.secret, r.score) for r in lone.collect()] == [(False, 0.0)] and lone.columns[-1] == "secret"
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     base = rng.standard_normal((120, 16))
