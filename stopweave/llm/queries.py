@@ -20,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, model)
+    return toxicity.score_toxicity(docs, model).drop("offending")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ SPREAD = 9.0
 
 SENTENCE = regex.compile(r"[^.!?\n]+")
 WORD = regex.compile(WORD_PATTERN)
+SPANS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("chance", pa.float64())]))
 
 
 @dataclass(frozen=True)
@@ -185,7 +186,7 @@ def _scored(batches, model, kept, clean_only):
     known = _WordWeights(weights)
     for whole in batches:
         for batch in batches_of(whole, "text"):
-            scores, offending, begins, ends = [], [], [], []
+            scores, offending, begins, ends, sentences = [], [], [], [], []
             for text in batch["text"].to_pylist():
                 found, odds = _sentence_chances(text or "", known, bias)
                 scores.append(float(-np.expm1(-np.logaddexp(0, odds).sum())))
@@ -193,20 +194,28 @@ def _scored(batches, model, kept, clean_only):
                 worst = found[int(odds.argmax())] if found else (None, None)
                 begins.append(worst[0])
                 ends.append(worst[1])
+                # A text toxic by many doubtful sentences has its worst one listed.
+                listed = odds >= 0
+                if len(odds) and scores[-1] >= 0.5:
+                    listed[int(odds.argmax())] = True
+                chances = 1 / (1 + np.exp(-odds))
+                sentences.append([{"begin": found[k][0], "end": found[k][1], "chance": float(chances[k])} for k in np.flatnonzero(listed)])
             if clean_only:
                 yield batch.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
                 continue
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in kept), pa.array(scores, pa.float64()), pa.array(offending, pa.int32()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())],
-                names=[*kept, "score", "n_offending", "worst_begin", "worst_end"],
+                [*(batch[c] for c in kept), pa.array(scores, pa.float64()), pa.array(offending, pa.int32()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64()), pa.array(sentences, SPANS)],
+                names=[*kept, "score", "n_offending", "worst_begin", "worst_end", "offending"],
             )
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``(doc_id, held_out, score, predicted, n_offending, worst_begin, worst_end)`` per row.
+    """``(doc_id, held_out, score, predicted, n_offending, worst_begin, worst_end, offending)`` per row.
 
     The whole text is scored. ``n_offending`` counts sentences that are more likely
     toxic than not; the characters from ``worst_begin`` to before ``worst_end`` are the likeliest.
+    ``offending`` has ``(begin, end, chance)`` of every sentence so counted, in the order of
+    the text, and, if the document is toxic, of the likeliest in any case.
     A null text, or one without words, scores 0 and has no worst sentence.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
@@ -214,7 +223,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     kind = plain.schema["doc_id"].dataType.simpleString()
     scored = plain.mapInArrow(
         lambda batches: _scored(batches, shared, ["doc_id"], False),
-        f"doc_id {kind}, score double, n_offending int, worst_begin bigint, worst_end bigint",
+        f"doc_id {kind}, score double, n_offending int, worst_begin bigint, worst_end bigint, offending array<struct<begin:bigint,end:bigint,chance:double>>",
     )
     return scored.select(
         "doc_id",
@@ -224,6 +233,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         "n_offending",
         "worst_begin",
         "worst_end",
+        "offending",
     )
 
 

@@ -283,6 +283,18 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.score_toxicity(docs, empty).where("predicted = 1").count() == 0
 
 
+def test_all_offending_sentences_have_their_places(spark):
+    model = toxicity.ToxicityModel(-4.0, {"awful": 8.0, "doubtful": 3.5})
+    texts = ["An awful one. A good one! Another AWFUL thing.", "doubtful a. doubtful b. doubtful c. fine", "fine", None, ""]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.score_toxicity(table, model).collect()}
+    assert [texts[0][x.begin : x.end].strip() for x in rows[0].offending] == ["An awful one", "Another AWFUL thing"]
+    assert all(x.chance == pytest.approx(1 / (1 + math.exp(-4))) for x in rows[0].offending) and rows[0].n_offending == 2
+    assert rows[1].predicted == 1 and rows[1].n_offending == 0
+    assert [(x.begin, x.end) for x in rows[1].offending] == [(rows[1].worst_begin, rows[1].worst_end)]
+    assert rows[2].offending == rows[3].offending == rows[4].offending == []
+
+
 def test_fixity(spark):
     pages = spark.createDataFrame(
         [(k % 900, f"http://h/{k % 900}", "é" * (k % 300)) for k in range(1000)] + [(None, None, None)], "page_id long, url string, html string"
