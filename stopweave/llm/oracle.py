@@ -74,3 +74,111 @@ SELECT CAST(place AS bigint) AS "offset", page_id AS record_id, CAST(strlen(reco
        CASE lot WHEN '01' THEN 'missing' ELSE 'changed' END AS kind
 FROM placed WHERE lot IN ('00', '01', '02')
 """
+
+
+#: Every anchor against every row, no bounds.
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS double))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+         CAST(list_dot_product(a.q, b.q) AS bigint) AS score
+  FROM r a JOIN r b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.rid, p.positive_id ORDER BY n.score DESC, n.vec_id) AS integer) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON p.rid = n.rid AND NOT n.alike
+ AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.rid, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5
+"""
+
+
+def manifest_sql(levels: int = 7) -> str:
+    """Both trees level by level; a tree whose last node is reached stays as it is."""
+
+    def digest(text: str) -> str:
+        fields = ("doc_id", "source", "lang", "n_chars", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen(CAST({x} AS varchar)) || ':' || CAST({x} AS varchar), '-')" for x in fields) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # CRC-32 of the decimal id: eight shifts for each byte.
+    number = "CAST({} AS ubigint)".format
+    shifts = f"list_reduce(list_concat([xor(c, b)], [{', '.join([number(0)] * 8)}]), lambda x, y: xor(x >> 1, {number(3988292384)} * (x & 1)))"
+    digits = f"list_transform(string_split(CAST(doc_id AS varchar), ''), lambda x: {number('ord(x)')})"
+    crc = f"xor({number(4294967295)}, list_reduce(list_concat([{number(4294967295)}], {digits}), lambda c, b: {shifts}))"
+
+    def climb(name: str, group: str) -> str:
+        """For each level: every row's node there, its folded form and the siblings so far."""
+        out = ""
+        for k in range(levels):
+            siblings = "array_to_string(hs[: i % 16], '') {} array_to_string(hs[i % 16 + 2 :], '')".format
+            out += f""",
+{name}{k}g AS (
+  SELECT grp, i // 16 AS up, list(h ORDER BY i) AS hs
+  FROM (SELECT DISTINCT {group} AS grp, i, h FROM {name}{k} WHERE n > 1) GROUP BY ALL
+),
+{name}{k + 1} AS (
+  SELECT t.doc_id, t.source, t.leaf, t.subroot_, t.whole, CASE WHEN n > 1 THEN i // 16 ELSE i END AS i,
+         CASE WHEN n > 1 THEN (n + 15) // 16 ELSE n END AS n,
+         CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE h END AS h,
+         CASE WHEN n > 1 THEN sha256({siblings("|| f ||")}) ELSE f END AS f,
+         CASE WHEN n > 1 THEN proof || {siblings("||")} ELSE proof END AS proof
+  FROM {name}{k} t LEFT JOIN {name}{k}g g ON t.n > 1 AND t.{group} IS NOT DISTINCT FROM g.grp AND t.i // 16 = g.up
+)"""
+        return out
+
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, source, {digest("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {digest(lowered)} ELSE {digest("text")} END AS bent
+  FROM documents
+),
+s0 AS (
+  SELECT doc_id, source, leaf, '' AS subroot_, 1 AS whole,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY source) AS n, leaf AS h, bent AS f, '' AS proof
+  FROM leaves
+){climb("s", "source")},
+ranks AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS m
+  FROM (SELECT DISTINCT source FROM leaves)
+),
+t0 AS (
+  SELECT doc_id, s.source, leaf, h AS subroot_, 1 AS whole, r AS i, m AS n, h, f, proof
+  FROM s{levels} s JOIN ranks k ON s.source IS NOT DISTINCT FROM k.source
+){climb("t", "whole")}
+SELECT doc_id, leaf, subroot_ AS subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM t{levels}
+"""
+
+
+#: The text of each page's article element: the given pages mark their main text that way.
+ARTICLES = r"""
+WITH found AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)</article>', 1) AS article FROM pages
+),
+parts AS (
+  SELECT page_id, url,
+         list_transform(
+           regexp_split_to_array(regexp_replace(article, '<br[^>]*>', ' ', 'g'), '</?(?:p|h[1-6]|div|ul|ol|li|section|blockquote|table|tr|td|th|pre)(?:\s[^>]*)?>'),
+           lambda x: regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&(?:nbsp|#160);', ' ', 'g')) AS pieces
+  FROM found
+),
+blocks AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(pieces, lambda x: trim(regexp_replace(
+           replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+           '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text
+  FROM parts
+)
+SELECT page_id, url, text, CAST(length(text) AS bigint) AS n_chars FROM blocks
+"""

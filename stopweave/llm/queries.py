@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stopweave.llm import backoff, decontamination, fixity, licenses, mixing, neighbours, oracle, secretscan, sharding, simhash, toxicity
+from stopweave.llm import (
+    backoff, decontamination, extraction, fixity, hardneg, licenses, manifest, mixing, neighbours, oracle, secretscan,
+    sharding, simhash, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +71,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.withColumn("label", label))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.prove_rows(table(spark, sf_dir, "documents"))
+
+
+def op13_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train_extractor(extraction.annotated_pages(pages)))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -80,6 +98,9 @@ def queries() -> dict[str, Query]:
         "op8_neighbours": op8_neighbours,
         "op9_sharding": op9_sharding,
         "op10_licenses": op10_licenses,
+        "op11_hardneg": op11_hardneg,
+        "op12_manifest": op12_manifest,
+        "op13_extraction": op13_extraction,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -88,4 +109,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_fixity": oracle.FIXITY,
         "op10_licenses": oracle.license_sql(),
+        "op11_hardneg": oracle.HARD_NEGATIVES,
+        "op12_manifest": oracle.manifest_sql(),
+        "op13_extraction": oracle.ARTICLES,
     }
