@@ -280,19 +280,26 @@ def _learnable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Chains:
-    """Pages side by side, padded to the longest: forward and backward sums of all at once."""
+    """Pages side by side, the longest first: forward and backward sums of all at once."""
 
     def __init__(self, page: np.ndarray, place: np.ndarray, same: np.ndarray, label: np.ndarray):
-        pages, row = np.unique(page, return_inverse=True)
-        self.shape = len(pages), int(place.max()) + 1
-        self.at = row, place
-        self.there = np.zeros(self.shape, bool)
+        _, row, lengths = np.unique(page, return_inverse=True, return_counts=True)
+        order = np.argsort(-lengths, kind="stable")
+        rank = np.empty(len(order), int)
+        rank[order] = np.arange(len(order))
+        self.at = rank[row], place
+        self.last = np.arange(len(order)), lengths[order] - 1
+        self.shape = len(lengths), int(lengths.max())
+        #: How many pages have a block at each place.
+        self.reach = np.bincount(place)
         self.same, self.label = np.zeros(self.shape, int), np.zeros(self.shape, int)
-        self.there[self.at], self.same[self.at], self.label[self.at] = True, same, label
-        later = self.there[:, 1:]
-        self.inside = self.same[:, 1:][later] == 1
-        pair = self.same[:, 1:] * 4 + self.label[:, :-1] * 2 + self.label[:, 1:]
-        self.observed = np.bincount(pair[later], minlength=8).reshape(2, 2, 2)
+        self.same[self.at], self.label[self.at] = same, label
+        later = place > 0
+        self.now = self.at[0][later], place[later]
+        self.before = self.at[0][later], place[later] - 1
+        self.inside = self.same[self.now] == 1
+        pair = self.same[self.now] * 4 + self.label[self.before] * 2 + self.label[self.now]
+        self.observed = np.bincount(pair, minlength=8).reshape(2, 2, 2)
 
     def gradients(self, main: np.ndarray, following: np.ndarray, first: np.ndarray):
         """Observed less expected: for main text at each block, neighbours' labels, first labels."""
@@ -302,27 +309,30 @@ class _Chains:
         forward, backward = np.zeros_like(unary), np.zeros_like(unary)
         forward[:, 0] = unary[:, 0] + first
         for t in range(1, length):
-            step = forward[:, t - 1, :, None] + following[self.same[:, t]]
-            forward[:, t] = np.where(self.there[:, t, None], np.logaddexp(step[:, 0], step[:, 1]) + unary[:, t], forward[:, t - 1])
+            n = self.reach[t]
+            step = forward[:n, t - 1, :, None] + following[self.same[:n, t]]
+            forward[:n, t] = np.logaddexp(step[:, 0], step[:, 1]) + unary[:n, t]
         for t in range(length - 2, -1, -1):
-            step = following[self.same[:, t + 1]] + (unary[:, t + 1] + backward[:, t + 1])[:, None, :]
-            backward[:, t] = np.where(self.there[:, t + 1, None], np.logaddexp(step[..., 0], step[..., 1]), 0)
-        total = np.logaddexp(forward[:, -1, 0], forward[:, -1, 1])
-        chance = np.exp(forward + backward - total[:, None, None])
-        to_main = self.label[self.at] - chance[*self.at, 1]
-        to_first = np.bincount(self.label[:, 0], minlength=2) - chance[:, 0].sum(axis=0)
-        joint = forward[:, :-1, :, None] + following[self.same[:, 1:]] + (unary + backward)[:, 1:, None, :] - total[:, None, None, None]
-        joint = np.exp(joint[self.there[:, 1:]])
+            n = self.reach[t + 1]
+            step = following[self.same[:n, t + 1]] + (unary[:n, t + 1] + backward[:n, t + 1])[:, None, :]
+            backward[:n, t] = np.logaddexp(step[..., 0], step[..., 1])
+        total = np.logaddexp(*forward[self.last].T)
+        chance = np.exp(forward[self.at] + backward[self.at] - total[self.at[0], None])
+        to_main = self.label[self.at] - chance[:, 1]
+        begins = np.exp(forward[:, 0] + backward[:, 0] - total[:, None])
+        to_first = np.bincount(self.label[:, 0], minlength=2) - begins.sum(axis=0)
+        ahead = unary[self.now] + backward[self.now] - total[self.now[0], None]
+        joint = np.exp(forward[self.before][:, :, None] + following[self.same[self.now]] + ahead[:, None, :])
         expected = np.stack([joint[~self.inside].sum(axis=0), joint[self.inside].sum(axis=0)])
-        to_following = self.observed - expected
-        return to_main, to_following, to_first
+        return to_main, self.observed - expected, to_first
 
 
-def fitted(page, place, features: list[list[str]], same, label, steps: int = STEPS) -> Extractor:
+def fitted(page, place, features: pa.ListArray, same, label, steps: int = STEPS) -> Extractor:
     """The field of greatest penalised likelihood, by adaptive steps over all given pages."""
     chains = _Chains(np.asarray(page), np.asarray(place), np.asarray(same, int), np.asarray(label, int))
-    names, columns = np.unique(np.concatenate(features), return_inverse=True)
-    rows = np.repeat(np.arange(len(features)), list(map(len, features)))
+    coded = features.flatten().dictionary_encode()
+    names, columns = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    rows = np.repeat(np.arange(len(features)), features.value_lengths().to_numpy())
     sizes = len(names), 8, 2
     held = np.zeros(sum(sizes))
     mean, square = np.zeros_like(held), np.zeros_like(held)
@@ -335,7 +345,7 @@ def fitted(page, place, features: list[list[str]], same, label, steps: int = STE
         slope = slope / chains.shape[0] - PENALTY * held
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         held = held + RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    weights = dict(zip(names.tolist(), held[: ends[0]].tolist(), strict=True))
+    weights = dict(zip(names, held[: ends[0]].tolist(), strict=True))
     return Extractor(weights, held[ends[0] : ends[1]].reshape(2, 2, 2), held[ends[1] :])
 
 
@@ -350,7 +360,7 @@ def train_extractor(annotated: DataFrame, steps: int = STEPS) -> Extractor:
         return Extractor({}, np.zeros((2, 2, 2)), np.array([1.0, 0.0]))
     found = found.sort_by([("page", "ascending"), ("place", "ascending")])
     page, place, same, marked = (found.column(c).to_numpy() for c in ("page", "place", "same", "marked"))
-    return fitted(page, place, found.column("features").to_pylist(), same, marked, steps)
+    return fitted(page, place, found.column("features").combine_chunks(), same, marked, steps)
 
 
 # --- labelled pages -----------------------------------------------------------------
@@ -383,6 +393,10 @@ FILLER = (
     "The river rose overnight, and by morning the lower road was closed.", "Work on the second bridge begins in spring.",
     "Few expected the old mill to reopen, but its wheel turns again, and visitors come every day.", "About us", "Read more",
     "Contact", "Home", "Nobody was hurt.", "It took three years to gather the records, and one more to read them all.",
+    "Why does the harvest fail in some valleys and not in others?", "Our best offers of the week, only in this shop!",
+    "I have been there twice, and I agree with every word of it.", "All rights reserved", "Terms of use", "Next page",
+    "The council meets again in autumn; until then nothing will change.", "Send", "Your name", "Three replies", "Summary",
+    "This site stores small files on your device to remember what you chose.", "Sources", "More from this author",
 )
 
 
@@ -406,7 +420,8 @@ def layout(texts: list[str], seed: int) -> str:
     short = [" ".join(x.split()[: rng.randrange(1, 6)]) for x in texts]
 
     def prose() -> str:
-        return rng.choice(long) if rng.random() < 0.7 else rng.choice(texts)
+        some = long if rng.random() < 0.7 else texts
+        return " ".join(rng.choice(some) for _ in range(rng.choice((1, 1, 1, 2, 3))))
 
     def link() -> str:
         return f'<a href="/{rng.randrange(99)}">{rng.choice(short)}</a>'
@@ -466,13 +481,20 @@ def layout(texts: list[str], seed: int) -> str:
 
 
 _ARTICLE = re.compile(r"<article(?=[\s>])", re.I)
+_PARTS_INSIDE = re.compile(r"<article(?=[\s>]).*<(?:div|section|aside|nav|form|header|footer|dialog|button|fieldset)(?=[\s>]).*</article", re.I | re.S)
+
+
+def own_label(page: str) -> str | None:
+    """The page with its article marked, if it has just one and that holds no other part of the page."""
+    if len(_ARTICLE.findall(page)) != 1 or _PARTS_INSIDE.search(page):
+        return None
+    return _ARTICLE.sub(f"<article {MARK}", page)
 
 
 def _annotated(batches: Iterator[pa.RecordBatch], layouts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for number, page in zip(batch.column("number").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            # The page's own markup says where its main text is, if it has one article.
-            own = [_ARTICLE.sub(f"<article {MARK}", page)] if len(_ARTICLE.findall(page)) == 1 else []
+            own = [x for x in [own_label(page)] if x is not None]
             texts = [b.text for b in blocks_of(page)]
             pages = own + [layout(texts, number * layouts + k) for k in range(layouts)]
             numbers = [number * (layouts + 1) + k for k in range(len(pages))]
@@ -483,7 +505,7 @@ def annotated_pages(pages: DataFrame, most: int = LEARNED_PAGES, chars: int = LE
     """``(page, html)``: labelled pages made of a bounded sample of ``pages(page_id, html)``.
 
     At most ``most`` pages of up to ``chars`` code points, chosen by hash. A page with just one
-    article element is labelled by it. Besides, texts of each page are laid out anew,
+    article element of plain text is labelled by it. Besides, texts of each page are laid out anew,
     in varied common markup that says what is main text; few pages are laid out more often.
     """
     order = F.xxhash64(F.col("page_id").cast("string"), F.col("html").cast("string"))

@@ -176,7 +176,8 @@ parts AS (
 ),
 blocks AS (
   SELECT page_id, url, array_to_string(list_filter(list_transform(pieces, lambda x: trim(regexp_replace(
-           replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(x, '&#39;', chr(39)),
+             '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'),
            '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text
   FROM parts
 )
