@@ -19,26 +19,26 @@ _BASE = 0x9E3779B97F4A7C15
 
 
 def row_keys(*columns: str) -> list[Column]:
-    """96 bits that tell a row from all with other values in ``columns``: id and text by default."""
-    columns = columns or ("doc_id", "text")
-    return [
-        F.xxhash64(*columns).alias("_key1"),
-        F.hash(*reversed(columns)).alias("_key2"),
-    ]
+    """96 bits that tell a row from all with other values in ``columns``: id and text by default.
+
+    Both hashes pass over nulls, so each column goes with whether it is null.
+    """
+    marked = [x for c in columns or ("doc_id", "text") for x in (F.isnull(c), F.col(c))]
+    return [F.xxhash64(*marked).alias("_key1"), F.hash(*reversed(marked)).alias("_key2")]
 
 
 KEYS = ["_key1", "_key2"]
 
 
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    return docs.select("*", *row_keys(*columns))
+    """``(row, _key1, _key2)``: rows as one column each, so that no name of theirs meets another."""
+    whole = F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
+    return docs.select(whole.alias("row"), *row_keys(*columns))
 
 
 def one_of_each(rows: DataFrame) -> DataFrame:
-    """One row for each pair of keys; merged before the shuffle, so copies don't pile up."""
-    rest = [c for c in rows.columns if c not in KEYS]
-    merged = rows.groupBy(*KEYS).agg(F.first(F.struct(*rest)).alias("_row"))
-    return merged.select(*KEYS, "_row.*")
+    """One ``row`` for each pair of keys; merged before the shuffle, so copies don't pile up."""
+    return rows.groupBy(*KEYS).agg(F.first("row").alias("row"))
 
 
 def batches_of(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 22):

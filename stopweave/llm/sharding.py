@@ -164,7 +164,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def with_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """All rows and columns of ``docs`` with their ``shard``.
+    """All rows and columns of ``docs`` with their ``shard``, in place of a column of that name.
 
     The cuts are found on sizes and hashes alone. As shards are runs in the
     order of the hashes, a row's own hash then says where it goes; texts are not moved.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stopweave.llm import (
     backoff, components, decontamination, fixity, licenses, mixing, neighbours, ordering, secretscan,
-    sharding, shingles, simhash, toxicity,
+    sharding, simhash, toxicity,
 )
 from stopweave.session import stored
 
@@ -436,37 +436,6 @@ def test_links_of_vectors_do_not_need_the_graph(spark, monkeypatch, least):
     assert {(r.node, r.root, r.links) for r in got} == {(k, roots[k], int(links[k] @ n)) for k in range(60)}
 
 
-def test_near_copies_of_a_few_changed_words_go(spark):
-    rng = random.Random(8)
-    texts = []
-    for k in range(30):
-        base = [f"v{rng.randrange(500)}" for _ in range(rng.randrange(3, 260))]
-        texts.append(" ".join(base))
-        for _ in range(k % 5):
-            copy = list(base)
-            for _ in range(rng.randrange(1, 7)):
-                copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
-            texts.append(" ".join(copy).upper())
-    line = " ".join(f"c{j}" for j in range(40))
-    texts += [f"{line} " + " ".join(f"d{k}x{j}" for j in range(k)) for k in range(1, 20)] + [None, " ", ""]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-
-    def grams(text):
-        w = (text or "").lower().split()
-        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-
-    held = [grams(t) for t in texts]
-    alike = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
-    roots = brute_components(held, alike)
-    got = {r.doc_id: r.component_id for r in shingles.near_copies(table).collect()}
-    assert got == dict(enumerate(roots))
-    kept = corpus_pipeline.near_dedup_stage(spark, table, "")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots)) and len(set(roots)) < len(texts) - 20
-    far = [(simhash.fingerprint(texts[a].encode()) ^ simhash.fingerprint(texts[b].encode())).bit_count() > 2 for b, a in enumerate(roots) if a != b and (texts[b] or "").strip()]
-    assert sum(far) > 20
-    assert shingles.near_copies(table.limit(0)).count() == 0
-
-
 def test_pipeline_stages(spark, docs, tmp_path):
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
@@ -486,3 +455,37 @@ def test_pipeline_stages(spark, docs, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         last = stage(spark, last, str(tmp_path))
     assert last.count() > 0 and set(last.columns) == set(docs.columns)
+
+
+def test_a_null_is_not_the_value_beside_it(spark):
+    """Rows with the same values, one a null in the other's place, keep their own results."""
+    text = "released under the mit license"
+    docs = spark.createDataFrame([(text, None), (None, text)], "doc_id string, text string")
+    found = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
+    assert (found[None].n_base, found[None].labels, found[text].n_base, found[text].labels) == (1, "mit", 0, "")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert {r.doc_id: (r.n_hit, r.contaminated) for r in decontamination.contamination(docs, items).collect()} == {None: (5, True), text: (0, False)}
+    scores = {r.doc_id: r.n_words for r in backoff.score_documents(docs, docs).collect()}
+    assert scores == {None: 5, text: 0}
+    assert {r.doc_id: r.fp == 0 for r in simhash.near_duplicates(docs).collect()} == {None: False, text: True}
+    rows = spark.createDataFrame([(1, "a b c", None), (1, None, "a b c")], "doc_id long, text string, source string")
+    mixed = [tuple(r) for r in corpus_pipeline.mixing_stage(spark, rows, "").collect()]
+    assert mixed.count((1, "a b c", None)) <= 3 and mixed.count((1, None, "a b c")) <= 3
+    kept = corpus_pipeline.near_dedup_stage(spark, rows, "").collect()
+    assert {tuple(r) for r in kept} == set(map(tuple, rows.collect()))
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, docs, tmp_path):
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(100)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    extra = {c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in ("n", "copies", "_key1", "row", "_row", "begin", "odd name")}
+    clashing = docs.drop("shard").withColumns(extra)
+    for name, stage in corpus_pipeline.STAGES:
+        plain = stage(spark, docs, str(tmp_path)).groupBy("doc_id").count().collect()
+        result = stage(spark, clashing, str(tmp_path))
+        assert result.columns == clashing.columns + ["shard"] * (name == "sharding")
+        assert sorted(map(repr, plain)) == sorted(map(repr, result.groupBy("doc_id").count().collect()))
+        for c in extra:
+            wrong = f"NOT `{c}` <=> concat('{c} of ', coalesce(string(doc_id), 'none'))"
+            assert result.where(wrong).isEmpty()
