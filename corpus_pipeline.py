@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopweave.llm import decontamination, mixing, sharding, shingles, toxicity
+from stopweave.llm import decontamination, mixing, sharding, simhash, toxicity
 from stopweave.llm.common import KEYS, keyed, one_of_each
 from stopweave.session import stored
 
@@ -27,45 +27,45 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the least id, then text hash.
 
-    Near copies share 0.8 or more of their five-word shingles.
+    Near copies have fingerprints, of shingles of three words, that differ in 2 bits or fewer.
     """
-    rows = stored(shingles.near_copies(docs))
+    rows = stored(simhash.near_duplicates(docs))
     own = F.struct(*KEYS)
     kept = rows.where((F.col("first_key") == own) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counts = stored(kept.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_n")))
-    single = _joined(docs, counts.where("_n = 1").select(*KEYS), "left_semi")
-    if counts.where("_n > 1").isEmpty():
-        return single.select(*docs.columns)
+    counts = stored(kept.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")))
+    single = _joined(docs, counts.where("n = 1").select(*KEYS), "left_semi")
+    if counts.where("n > 1").isEmpty():
+        return single.select("row.*")
     # Equal rows are merged where they are read, before any shuffle.
-    repeated = _joined(docs, counts.where("_n > 1").select(*KEYS), "left_semi")
-    return single.select(*docs.columns).union(one_of_each(repeated).select(*docs.columns))
+    repeated = _joined(docs, counts.where("n > 1").select(*KEYS), "left_semi")
+    return single.select("row.*").union(one_of_each(repeated).select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with passages of ``benchmark`` items go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.find_passages(docs, benchmark).where("n_hit > 0")
-    return _joined(docs, found.select(*KEYS).distinct(), "left_anti").select(*docs.columns)
+    return _joined(docs, found.select(*KEYS).distinct(), "left_anti").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its rate says, 0 to 3 times."""
     rows = keyed(docs, *IDENTITY)
-    sizes = mixing.sized(rows.select(F.concat_ws(" ", *KEYS).alias("doc_id"), "source", "text"))
+    sizes = mixing.sized(rows.select(F.concat_ws(" ", *KEYS).alias("doc_id"), "row.source", "row.text"))
     plan = stored(mixing.entropy_balanced(stored(sizes)))
     key = F.split("doc_id", " ")
     plan = plan.where("copies > 0").select(key[0].cast("bigint").alias("_key1"), key[1].cast("int").alias("_key2"), "n", "copies")
     single = _joined(docs, plan.where("n = 1").select(*KEYS, "copies"), "inner", IDENTITY)
-    single = single.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    single = single.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
     repeated = plan.where("n > 1")
     if repeated.isEmpty():
-        return single.select(*docs.columns)
+        return single.select("row.*")
     # Equal rows become one, which stands for all their copies; these are made in runs.
     one = one_of_each(_joined(docs, repeated.select(*KEYS), "left_semi", IDENTITY)).join(repeated, KEYS)
     run = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(4096).cast("bigint")))
-    many = one.withColumn("_from", run)
-    many = many.withColumn("_copy", F.explode(F.sequence(F.col("_from"), F.least(F.col("_from") + 4095, F.col("copies") - 1))))
-    return single.select(*docs.columns).union(many.select(*docs.columns))
+    many = one.select("row", "copies", run.alias("begin"))
+    many = many.select("row", F.explode(F.sequence(F.col("begin"), F.least(F.col("begin") + 4095, F.col("copies") - 1))))
+    return single.select("row.*").union(many.select("row.*"))
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
