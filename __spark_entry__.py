@@ -128,17 +128,25 @@ def scan_stop_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records written as day folders with two orders of columns, and read back by name."""
+    """The records written as day folders of two layouts, and read back by name."""
     clock = lambda c: F.date_format(F.timestamp_seconds(c), "HH:mm:ss")
     day = F.date_format("date", DAY_FORMAT)
     text = visits(spark, sf_dir).withColumns(
         {"timestamp": clock("timestamp_s"), "cardTimestamp": clock("cardTimestamp_s"), "date": day, "day": day}
     ).drop("timestamp_s", "cardTimestamp_s")
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    for k, names in enumerate((text.columns, text.columns[::-1])):
-        half = text.select(*names).where(F.pmod(F.dayofmonth(F.to_date("day", DAY_FORMAT)), F.lit(2)) == k)
-        writer = half.repartition("day").write.partitionBy("day").options(header=True, nullValue=NULL_MARKER)
-        writer.csv(f"{folder}/{k}")
+    odd = F.pmod(F.dayofmonth(F.to_date("day", DAY_FORMAT)), F.lit(2)) == 1
+    options = {"header": "true", "nullValue": NULL_MARKER}
+    text.where(~odd).repartition("day").write.partitionBy("day").options(**options).csv(f"{folder}/0")
+    # The other days: columns the other way round, and two blank lines before the header.
+    turned = [c for c in reversed(text.columns) if c != "day"]
+    record = text.where(odd).select("day", F.lit(1).alias("place"), F.to_csv(F.struct(*turned), options).alias("value"))
+    heads = record.select("day").distinct().select(
+        "day", F.lit(0).alias("place"), F.explode(F.array(F.lit(""), F.lit("  "), F.lit(",".join(turned)))).alias("value")
+    )
+    lines = heads.withColumn("place", F.when(F.col("value").contains(","), 0).otherwise(-1)).union(record)
+    ordered = lines.repartition("day").sortWithinPartitions("day", "place").select("day", "value")
+    ordered.write.partitionBy("day").text(f"{folder}/1")
     records = read_stop_visits(spark, [f"{folder}/0/*", f"{folder}/1/*"])
     exact = [c for c in visits(spark, sf_dir).columns if c not in ("visit_id", "route", "cardNum", "shapeLat", "shapeLon")]
     numbers = [F.col(c).cast(t).alias(c) for c, t in (("visit_id", "bigint"), ("route", "int"), ("cardNum", "bigint"))]

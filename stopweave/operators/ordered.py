@@ -3,8 +3,9 @@
 A window puts each group into one task. ``first_per_group`` needs none: it is an
 aggregate, reduced before the shuffle. ``next_row`` needs every row, so groups
 above ``large_group`` rows are cut into consecutive chunks; only the row at the
-end of a chunk looks into the next one. The list of such groups is made and stored
-when the step is planned: without any, the plan is one window.
+end of a chunk looks into the next one. Whether there are such groups is known when the
+step is planned: from the size of the files of a small table, else by counting the keys once.
+Without any, the plan is one window.
 """
 
 from __future__ import annotations
@@ -21,6 +22,19 @@ from stopweave.session import stored
 LARGE_GROUP = 5_000_000
 
 
+#: Bytes of a table for each row that a single task may sort: up to this size, one task can take all of it.
+BYTES_PER_ROW = 32
+
+
+def small(df: DataFrame, large_group: int) -> bool:
+    """Whether a single task can sort all of ``df``, by the size that Spark knows of its files.
+
+    Nothing is read. Files are no larger than their rows, compressed and with the
+    columns that ``df`` uses; where Spark knows no size, it takes a very large one.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= large_group * BYTES_PER_ROW
+
+
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each group; ``order`` must leave no ties.
 
@@ -100,11 +114,9 @@ def next_row(
     ahead = F.struct(*(F.col(old).alias(new) for old, new in columns.items()))
     order = [F.col(position), F.col(tiebreak)]
     following = F.lead(ahead).over(Window.partitionBy(*keys).orderBy(*order))
-    # No group is larger than the table: counting its rows, which moves none, spares small tables the rest.
-    if df.count() <= large_group:
-        return df.withColumn("_next", following).select("*", "_next.*").drop("_next")
-    large = stored(large_groups(df, keys, large_group))
-    if large.isEmpty():
+    # No group is larger than the table. Else one pass over the keys alone, counted before their shuffle.
+    large = None if small(df, large_group) else stored(large_groups(df, keys, large_group))
+    if large is None or large.isEmpty():
         return df.withColumn("_next", following).select("*", "_next.*").drop("_next")
 
     whole = _match(df, large, keys, "left_anti").withColumn("_next", following)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stopweave.operators import alighting, boardings, flows
 from stopweave.session import job_tables, stored
-from stopweave.sources.readers import day_folders, read_days, rejected_values
+from stopweave.sources.readers import REJECTED, count_rejected, read_days
 from stopweave.sources.writers import write_table
 
 TRIP_ORDER = ("route", "busCode", "tripNum", "timestamp_s")
@@ -52,12 +52,11 @@ def run_od_job(
     """Read the CSV day folders from ``start`` to ``end`` and build all tables.
 
     Folders decide what is read: a record keeps its own date, also one after
-    midnight in the folder of the day before. The typed records are stored
-    once, and trip stops and taps read their own columns of them. Values that
-    are not of their column's type are counted in ``od/rejected_values``.
+    midnight in the folder of the day before. The files are parsed once: the typed records are
+    stored, and trip stops and taps read their own columns of them. Values that
+    are not of their column's type are stored beside them and counted in ``od/rejected_values``.
     """
     with job_tables(spark):
-        paths = day_folders(source, start, end)
-        write_table(rejected_values(spark, paths), f"{output}/od/rejected_values", partition_by=(), fmt=fmt)
-        visits = stored(read_days(spark, source, start, end))
-        build_od(visits, output, per, missing_as_zero, fmt, (start, end))
+        records = stored(read_days(spark, source, start, end, rejected=True))
+        write_table(count_rejected(records), f"{output}/od/rejected_values", partition_by=(), fmt=fmt)
+        build_od(records.drop(REJECTED), output, per, missing_as_zero, fmt, (start, end))

@@ -3,8 +3,8 @@ day, wrong types would be the price."""
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 from functools import reduce
 from urllib.parse import unquote
@@ -22,6 +22,9 @@ DAY_FORMAT = "yyyy_MM_dd"
 DAY_FOLDER = "%Y_%m_%d"
 NULL_MARKER = "-"
 
+#: The column of values that were not of their column's type, where asked for.
+REJECTED = "_rejected"
+
 
 def day_folders(base: str, start: date, end: date) -> str:
     """One pattern for the day folders from ``start`` to ``end``, both included.
@@ -34,33 +37,58 @@ def day_folders(base: str, start: date, end: date) -> str:
     return f"{base.rstrip('/')}/{{{','.join(day.strftime(DAY_FOLDER) for day in days)}}}"
 
 
-def _header_of(spark: SparkSession, path: str) -> str:
-    """The first line of a file; empty for an empty one."""
-    first = spark.read.text(path).limit(1).collect()
-    return first[0][0] if first else ""
+def _names_of(header: str) -> list[str]:
+    """The column names of a header line, as Spark's reader names them: none twice, none empty."""
+    names = next(csv.reader([header], escapechar="\\", skipinitialspace=False))
+    lowered = [name.lower() for name in names]
+    return [
+        f"_c{k}" if not name else f"{name}{k}" if lowered.count(name.lower()) > 1 else name
+        for k, name in enumerate(names)
+    ]
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``(header, files)``: the files, as URLs, that share a header line, their first that is not blank.
+
+    One aggregate over the lines, however many files there are; files without
+    any text are left out.
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+    )
+    # Spark's reader passes over lines of blanks and control characters.
+    first = lines.where(F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return first.groupBy("header").agg(F.collect_list("file").alias("files"))
 
 
 def _raw_csv(
-    spark: SparkSession, paths: str | Sequence[str], mode: str, base: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    mode: str,
+    base: str | None = None,
+    known: Sequence[str] = (),
 ) -> DataFrame:
     """All columns as text, each file read by its own header.
 
-    Files with the same header line are read together. First lines are looked
-    up by a few reads at a time, each of which stops after one line.
+    Files with the same header line are read together, by Spark's own
+    reader. A file with text none of whose first line's names are ``known`` has no
+    header: that is an error, as its first record would be lost otherwise.
     """
-    files = [unquote(f) for f in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()]
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda path: _header_of(spark, path), files))
-    alike: dict[str, list[str]] = {}
-    for path, header in zip(files, headers):
-        if header:
-            alike.setdefault(header, []).append(path)
-    if not alike:
+    found = file_headers(spark, paths).collect()
+    if not found:
         raise ValueError(f"no CSV file with a header in {paths}")
     reader = spark.read.options(header=True, nullValue=NULL_MARKER, mode=mode)
     if base:
         reader = reader.option("basePath", base)
-    parts = [reader.csv(same) for same in alike.values()]
+    parts = []
+    for header, files in sorted((row["header"], sorted(map(unquote, row["files"]))) for row in found):
+        names = _names_of(header)
+        if known and not set(names) & set(known):
+            raise ValueError(f"{len(files)} files without a header, such as {files[0]}")
+        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        parts.append(reader.schema(text).csv(files))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -82,14 +110,16 @@ def _csv(
     schema: T.StructType,
     mode: str,
     base: str | None = None,
+    rejected: bool = False,
 ) -> DataFrame:
     """CSV matched by column name and cast to the declared types.
 
     Columns may come in any order, which may differ between files, be absent, or be
     more than declared; absent ones are null. A value of the wrong type
-    becomes null, or an error if ``mode`` is FAILFAST.
+    becomes null, or an error if ``mode`` is FAILFAST. With ``rejected``, the
+    column ``REJECTED`` lists such values of a record, for ``count_rejected``.
     """
-    raw = _raw_csv(spark, paths, mode, base)
+    raw = _raw_csv(spark, paths, mode, base, schema.names)
     kinds = {field.name: field.dataType for field in schema}
     strict = mode.upper() == "FAILFAST"
 
@@ -98,7 +128,8 @@ def _csv(
             return F.col(name)
         return _typed(F.col(name), kinds[name], strict).alias(name)
 
-    return raw.select(*(typed(name) for name in raw.columns))
+    rejects = [_rejects(raw, schema).alias(REJECTED)] if rejected else []
+    return raw.select(*(typed(name) for name in raw.columns), *rejects)
 
 
 def _with_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -107,22 +138,33 @@ def _with_declared(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns(absent) if absent else df
 
 
-def rejected_values(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = STOP_VISITS_CSV
-) -> DataFrame:
-    """``(date, column, rejected)``: values that are not of the declared type, which readers null."""
-    raw = _raw_csv(spark, paths, "PERMISSIVE")
+def _rejects(raw: DataFrame, schema: T.StructType) -> Column:
+    """The columns of a record whose values are not of the declared type, with the record's day."""
     day = F.col("date") if "date" in raw.columns else F.lit(None).cast("string")
     checks = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            (F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType, False).isNull()).cast("long").alias("n"),
+        F.when(
+            F.col(f.name).isNotNull() & _typed(F.col(f.name), f.dataType, False).isNull(),
+            F.struct(day.alias("date"), F.lit(f.name).alias("column")),
         )
         for f in schema
         if f.name in raw.columns and not isinstance(f.dataType, T.StringType)
     ]
-    counted = raw.select(day.alias("date"), F.inline(F.array(*checks)))
-    return counted.groupBy("date", "column").agg(F.sum("n").alias("rejected")).where("rejected > 0")
+    none = F.array().cast("array<struct<date:string,column:string>>")
+    return F.array_compact(F.array(*checks)) if checks else none
+
+
+def count_rejected(records: DataFrame) -> DataFrame:
+    """``(date, column, rejected)`` from records read with ``rejected``."""
+    each = records.select(F.explode(REJECTED).alias("r")).select("r.date", "r.column")
+    return each.groupBy("date", "column").agg(F.count(F.lit(1)).alias("rejected"))
+
+
+def rejected_values(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = STOP_VISITS_CSV
+) -> DataFrame:
+    """``(date, column, rejected)``: values that are not of the declared type, which readers null."""
+    raw = _raw_csv(spark, paths, "PERMISSIVE", known=schema.names)
+    return count_rejected(raw.select(_rejects(raw, schema).alias(REJECTED)))
 
 
 def _identified(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
@@ -145,14 +187,16 @@ def read_stop_visits(
     schema: T.StructType = STOP_VISITS_CSV,
     mode: str = "PERMISSIVE",
     numeric_route: bool = False,
+    rejected: bool = False,
 ) -> DataFrame:
     """Stop records of any number of day folders, as one typed table.
 
     ``visit_id`` is a hash of the declared columns, so a record keeps its id
     wherever and however often it is read. ``numeric_route`` turns route codes
-    into numbers and leaves those that are none null.
+    into numbers and leaves those that are none null. ``rejected`` adds the column that
+    ``count_rejected`` counts, so that one pass over the files serves both.
     """
-    raw = _csv(spark, paths, schema, mode)
+    raw = _csv(spark, paths, schema, mode, rejected=rejected)
     typed = _identified(_with_declared(raw, schema), schema).withColumns(
         {
             "date": F.to_date(F.try_to_timestamp("date", F.lit(DAY_FORMAT))),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import glob
+import uuid
 from datetime import date
 
 import pytest
@@ -189,3 +190,121 @@ def test_tables_of_a_job_are_removed(spark):
         assert glob.glob(f"{folder.removeprefix('file:')}/table-*")
         raise ZeroDivisionError
     assert not glob.glob(f"{folder.removeprefix('file:')}*")
+
+
+def lines_of(folder, *lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"part-{len(list(folder.iterdir()))}.csv").write_text("\n".join(lines) + "\n")
+
+
+def test_blank_lines_before_a_header_lose_nothing(spark, tmp_path):
+    record = ",".join(RECORD[c] for c in COLUMNS)
+    lines_of(tmp_path / "a", ",".join(COLUMNS), record)
+    lines_of(tmp_path / "odd name %41", "", " \t ", ",".join(COLUMNS), "", record, record)
+    lines_of(tmp_path / "b", "", ",".join(reversed(COLUMNS)), ",".join(RECORD[c] for c in reversed(COLUMNS)))
+    (tmp_path / "b" / "empty.csv").write_text("")
+    (tmp_path / "b" / "blank.csv").write_text(" \n\n")
+    found = readers.read_stop_visits(spark, f"{tmp_path}/*")
+    assert found.count() == 4 and found.select("visit_id").distinct().count() == 1
+    own = spark.read.option("header", True).csv(f"{tmp_path}/odd name %41")
+    assert own.count() == 2
+    assert readers.rejected_values(spark, f"{tmp_path}/*").isEmpty()
+
+
+def test_a_file_without_a_header_is_refused(spark, tmp_path):
+    lines_of(tmp_path / "a", ",".join(COLUMNS), ",".join(RECORD[c] for c in COLUMNS))
+    lines_of(tmp_path / "b", "", ",".join(RECORD[c] for c in COLUMNS))
+    with pytest.raises(ValueError, match="without a header"):
+        readers.read_stop_visits(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "blank.csv").write_text("\n")
+    with pytest.raises(ValueError, match="no CSV file with a header"):
+        readers.read_stop_visits(spark, f"{tmp_path}/c")
+
+
+def test_repeated_and_empty_names_are_told_apart(spark, tmp_path):
+    lines_of(tmp_path / "a", 'route,Route,,"bus,Code",busCode', "020,1,2,3,B1")
+    own = spark.read.option("header", True).csv(f"{tmp_path}/a")
+    raw = readers._raw_csv(spark, f"{tmp_path}/a", "PERMISSIVE")
+    assert raw.columns == own.columns and raw.collect() == own.collect()
+
+
+def jobs_of(spark, action):
+    tracker, group = spark.sparkContext.statusTracker(), f"group-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        action()
+        return len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_headers_take_as_many_jobs_for_many_files_as_for_two(spark, tmp_path):
+    record = ",".join(RECORD[c] for c in COLUMNS)
+    for k in range(25):
+        lines_of(tmp_path / f"2024_01_{k + 1:02d}", "", ",".join(COLUMNS), record)
+    few = jobs_of(spark, lambda: readers.read_days(spark, str(tmp_path), date(2024, 1, 1), date(2024, 1, 2)))
+    many = jobs_of(spark, lambda: readers.read_days(spark, str(tmp_path), date(2024, 1, 1), date(2024, 1, 31)))
+    assert 1 <= few == many <= 3
+
+
+def test_one_scan_serves_records_and_rejected_values(spark, tmp_path):
+    write_columns(tmp_path / "a", COLUMNS, RECORD, RECORD | {"tripNum": "x", "shapeLat": "y"})
+    write_columns(tmp_path / "b", tuple(reversed(COLUMNS)), RECORD | {"date": "2024_01_02"})
+    records = readers.read_stop_visits(spark, f"{tmp_path}/*", rejected=True)
+    assert records._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    kept = stored(records)
+    assert {(r.date, r.column): r.rejected for r in readers.count_rejected(kept).collect()} == {
+        ("2024_01_01", "tripNum"): 1, ("2024_01_01", "shapeLat"): 1
+    }
+    plain = readers.read_stop_visits(spark, f"{tmp_path}/*")
+    assert sorted(map(str, kept.drop(readers.REJECTED).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_a_failing_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(6).withColumn("date", F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")))
+    writers.write_table(days, path)
+    broken = days.withColumn("id", F.when(F.col("id") == 4, F.raise_error(F.lit("broken"))).otherwise(F.col("id") + 100))
+    for how in ({"days": (date(2024, 1, 1), date(2024, 1, 31))}, {"replace": "table"}):
+        with pytest.raises(Exception, match="broken"):
+            writers.write_table(broken, path, **how)
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(6))
+        assert not glob.glob(f"{path}/_*-*")
+
+
+def test_a_write_runs_its_plan_once_and_may_read_what_it_replaces(spark, tmp_path):
+    path, passed = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def counting(rows):
+        for batch in rows:
+            passed.add(batch.num_rows)
+            yield batch
+
+    days = spark.range(40).withColumn("date", F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 8).cast("int")))
+    writers.write_table(days.mapInArrow(counting, days.schema), path, days=(date(2024, 1, 1), date(2024, 1, 31)))
+    assert passed.value == 40
+    old = spark.read.parquet(path)
+    writers.write_table(old.where("id % 8 < 3").withColumn("id", F.col("id") + 1000), path, days=(date(2024, 1, 1), date(2024, 1, 5)))
+    got = sorted(r.id for r in spark.read.parquet(path).collect())
+    assert got == [k for k in range(40) if k % 8 > 4] + [1000 + k for k in range(40) if k % 8 < 3]
+
+
+def test_what_a_killed_run_set_aside_returns(spark, tmp_path):
+    path = tmp_path / "t"
+    days = spark.range(4).withColumn("date", F.date_add(F.lit(date(2024, 1, 1)), F.col("id").cast("int")))
+    writers.write_table(days, str(path))
+    (path / "_former-x").mkdir()
+    (path / "date=2024-01-02").rename(path / "_former-x" / "date=2024-01-02")
+    assert spark.read.parquet(str(path)).count() == 3
+    writers.write_table(days.where("id = 3"), str(path))
+    assert sorted(r.id for r in spark.read.parquet(str(path)).collect()) == [0, 1, 2, 3]
+    assert not list(path.glob("_former*"))
+
+
+def test_partitions_of_two_columns_change_places_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(d, r, 0) for d in (1, 2) for r in "ab"], "d int, r string, n int")
+    writers.write_table(rows, path, partition_by=("d", "r"))
+    writers.write_table(rows.where("d = 2 and r = 'b'").withColumn("n", F.lit(9)), path, partition_by=("d", "r"))
+    assert {(x.d, x.r, x.n) for x in spark.read.parquet(path).collect()} == {(1, "a", 0), (1, "b", 0), (2, "a", 0), (2, "b", 9)}

@@ -79,3 +79,30 @@ def test_first_per_group_drops_copies_before_the_shuffle(spark):
     expected = df.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
     assert first.columns == df.columns
     assert set(first.collect()) == set(expected.collect())
+
+
+def test_a_small_table_is_not_read_to_plan_its_window(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows(4), SCHEMA).write.parquet(path)
+    df, tracker = spark.read.parquet(path), spark.sparkContext.statusTracker()
+
+    def planned(group, large_group):
+        spark.sparkContext.setJobGroup(group, "counted")
+        got = next_row(df, ["k", "n"], "pos", "id", {"id": "next_id", "v": "next_v"}, large_group)
+        jobs = len(tracker.getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert set(got.collect()) == set(plain_next(df).collect())
+        return jobs, got._jdf.queryExecution().executedPlan().toString()
+
+    jobs, plan = planned("small", 5_000_000)
+    assert jobs == 0 and plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+    jobs, plan = planned("large", 300)
+    assert jobs > 0 and plan.count("FileScan") > 1
+
+
+def test_only_keys_are_read_to_find_large_groups(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows(4), SCHEMA).write.parquet(path)
+    found = large_groups(spark.read.parquet(path), ["k", "n"], 99)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:string,n:int>" in plan and plan.count("FileScan") == 1
