@@ -91,8 +91,9 @@ def test_a_small_table_is_not_read_to_plan_its_window(spark, tmp_path):
         got = next_row(df, ["k", "n"], "pos", "id", {"id": "next_id", "v": "next_v"}, large_group)
         jobs = len(tracker.getJobIdsForGroup(group))
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        plan = got._jdf.queryExecution().executedPlan().toString()
         assert set(got.collect()) == set(plain_next(df).collect())
-        return jobs, got._jdf.queryExecution().executedPlan().toString()
+        return jobs, plan
 
     jobs, plan = planned("small", 5_000_000)
     assert jobs == 0 and plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
