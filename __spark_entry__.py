@@ -13,6 +13,7 @@ from pathlib import Path
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from checks import oracle
 from stopweave.functions.clock import seconds_of_day
 from stopweave.functions.geo import geo_distance_km
-from stopweave.ml import evaluation, features, models, tuning
+from stopweave.ml import evaluation, features, linear, models, trees, tuning
 from stopweave.operators import alighting, boardings, columns, flows, legs
 from stopweave.plans.training_job import TRAINERS, featured_split
 from stopweave.schemas import TRIP_STOP
@@ -31,6 +32,7 @@ from stopweave.plans.od_job import build_od
 from stopweave.session import job_tables, shared_folder, stored
 from stopweave.sources.events import visits_from_events
 from stopweave.sources.readers import DAY_FORMAT, NULL_MARKER, read_stop_visits
+from stopweave.sources.writers import load_model, save_model
 
 try:
     import stopweave.llm.queries as corpus
@@ -398,13 +400,84 @@ def predict(label: str) -> Query:
     return run
 
 
-def tune(spark: SparkSession, sf_dir: str, kind: str, label: str) -> object:
+def lasso_optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the coefficients of each lasso, fitted to the end, are from the conditions of the optimum, in deviations of the label."""
+    split = features.hash_split(stored(kept_legs(spark, sf_dir)))
+    _, train, _ = featured_split(*split, features.TRAINING_NUMBERS, features.TRAINING_CATEGORIES)
+    reports = []
+    for label in ("duration", "speed"):
+        estimator = models.lasso(label).setMaxIter(1000).setTol(1e-12)
+        model = models.fit(estimator, train)
+        sums = stored(linear.gram(train, label, model.numFeatures))
+        away = linear.optimality(sums, model, models.LASSO_PENALTY)
+        worst = away.agg(F.round(F.max("violation"), 4).alias("violation")).first()["violation"]
+        rows = sums.where((F.col("i") == F.col("j")) & (F.col("i") == model.numFeatures + 1))
+        reports.append(rows.select(F.lit(label).alias("label"), F.col("total").cast("bigint").alias("n_train"), F.lit(worst).alias("violation")))
+    return columns.union_tables(reports)
+
+
+def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest differences of predictions by models saved and loaded, and by their tables of trees."""
+    split = features.hash_split(stored(kept_legs(spark, sf_dir)))
+    _, train, test = featured_split(*split, features.TRAINING_NUMBERS, features.TRAINING_CATEGORIES)
+    test = stored(test)
+    reports = []
+    for label, kind in (("duration", LinearRegressionModel), ("pacing", GBTRegressionModel)):
+        model = TRAINERS[label](train, label)
+        path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+        save_model(model, path)
+        again = load_model(kind, path).setPredictionCol("again")
+        both = again.transform(model.transform(test)).select("visit_id", "prediction", "again")
+        if kind is GBTRegressionModel:
+            table = stored(trees.tree_table(test, model))
+            walked = trees.scored_by_table(test, table, ["visit_id"], models.TREE_DEPTH).withColumnRenamed("prediction", "walked")
+            both = both.join(walked, "visit_id")
+        else:
+            both = both.withColumn("walked", F.lit(None).cast("double"))
+        away = lambda c: F.round(F.max(F.abs(F.col(c) - F.col("prediction"))), 6)
+        found = both.agg(F.count(F.lit(1)).alias("n_test"), away("again").alias("loaded_away"), away("walked").alias("table_away"))
+        reports.append(found.select(F.lit(label).alias("label"), "*"))
+    return columns.union_tables(reports)
+
+
+def tuning_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = stored(columns.complete_cases(load_legs(spark, sf_dir)))
     train, test = features.temporal_split(table, TRAIN_START, TRAIN_END, TEST_END)
-    _, train, test = featured_split(
-        train, test, features.TUNING_NUMBERS, features.TUNING_CATEGORIES
-    )
-    return tuning.tune_model(kind, train, label)
+    return featured_split(train, test, features.TUNING_NUMBERS, features.TUNING_CATEGORIES)[1]
+
+
+def tune(spark: SparkSession, sf_dir: str, kind: str, label: str) -> object:
+    return tuning.tune_model(kind, tuning_train(spark, sf_dir), label)
+
+
+def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legs in each fold of the tuning models' cross-validation."""
+    split = features.temporal_split(kept_legs(spark, sf_dir), TRAIN_START, TRAIN_END, TEST_END)
+    return features.with_folds(split[0], 5).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def best_is_least(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each tuned label: folds, legs and grid points of the search, and whether the chosen point has the least mean error."""
+    train = tuning_train(spark, sf_dir)
+    reports = []
+    for label in ("crowdedness", "pacing"):
+        model = tuning.tune_model("lasso", train, label, keep_fits=True)
+        scores = tuning.fold_scores(train, label, model)
+        means = stored(scores.groupBy("params").agg(F.avg("rmse").alias("rmse"), F.count(F.lit(1)).alias("folds"), F.sum("n").alias("n")))
+        told = tuning.grid_scores(spark, "lasso", label, model).select("params", F.col("rmse").alias("told"))
+        best = {r["param"]: r["value"] for r in tuning.best_params(spark, "lasso", label, model).collect()}
+        chosen = F.lit(True)
+        for name, value in best.items():
+            chosen = chosen & (F.regexp_extract("params", f"{name}=([0-9.eE+-]+)", 1).cast("double") == F.lit(value))
+        found = means.join(told, "params").agg(
+            F.count(F.lit(1)).alias("points"),
+            F.min("folds").alias("folds"),
+            F.max("n").alias("n"),
+            F.every(F.abs(F.col("rmse") - F.col("told")) < 1e-6).alias("means_agree"),
+            (F.min(F.when(chosen, F.col("rmse"))) <= F.min("rmse") + 1e-9).alias("best_is_least"),
+        )
+        reports.append(found.select(F.lit(label).alias("label"), "*"))
+    return columns.union_tables(reports)
 
 
 def cross_validate(kind: str, label: str) -> Query:
@@ -484,6 +557,10 @@ def transit_queries() -> dict[str, Query]:
         "cv_random_forest": cross_validate("rf", "crowdedness"),
         "cv_gbt": cross_validate("gbt", "crowdedness"),
         "best_params": best_params,
+        "cv_folds": cv_folds,
+        "best_is_least": best_is_least,
+        "lasso_optimality": lasso_optimality,
+        "stored_models": stored_models,
     }
 
 

@@ -235,6 +235,14 @@ SELECT {column} AS value, count(*) AS cnt,
        CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS double) AS idx
 FROM {rows} GROUP BY {column}"""
 
+_COMPLETE = """periodOrig IS NOT NULL AND weekDay IS NOT NULL AND route IS NOT NULL
+  AND shapeLatOrig IS NOT NULL AND shapeLonOrig IS NOT NULL AND busStopIdOrig IS NOT NULL
+  AND busStopIdDest IS NOT NULL AND shapeLatDest IS NOT NULL AND shapeLonDest IS NOT NULL
+  AND hourOrig IS NOT NULL AND isRushOrig IS NOT NULL AND weekOfYear IS NOT NULL
+  AND dayOfMonth IS NOT NULL AND month IS NOT NULL AND isHoliday IS NOT NULL
+  AND isWeekend IS NOT NULL AND isRegularDay IS NOT NULL AND distance IS NOT NULL
+  AND crowdedness IS NOT NULL AND pacing IS NOT NULL AND speed IS NOT NULL"""
+
 _LEG_KEY = "visit_id, date, route, busStopIdOrig, busStopIdDest"
 
 _SUMMARY = """
@@ -349,13 +357,7 @@ SELECT {_LEG_KEY}, duration, distance, round(crowdedness, 6) AS crowdedness,
 FROM load_kept"""),
         "complete_cases": _with(f"""
 SELECT {_LEG_KEY}, duration, round(crowdedness, 6) AS crowdedness FROM load_kept
-WHERE periodOrig IS NOT NULL AND weekDay IS NOT NULL AND route IS NOT NULL
-  AND shapeLatOrig IS NOT NULL AND shapeLonOrig IS NOT NULL AND busStopIdOrig IS NOT NULL
-  AND busStopIdDest IS NOT NULL AND shapeLatDest IS NOT NULL AND shapeLonDest IS NOT NULL
-  AND hourOrig IS NOT NULL AND isRushOrig IS NOT NULL AND weekOfYear IS NOT NULL
-  AND dayOfMonth IS NOT NULL AND month IS NOT NULL AND isHoliday IS NOT NULL
-  AND isWeekend IS NOT NULL AND isRegularDay IS NOT NULL AND distance IS NOT NULL
-  AND crowdedness IS NOT NULL AND pacing IS NOT NULL AND speed IS NOT NULL"""),
+WHERE {_COMPLETE}"""),
         "split_train": _with(f"""
 SELECT {_LEG_KEY}, duration FROM kept
 WHERE date >= DATE '2024-01-01' AND date <= DATE '2024-01-20'"""),
@@ -447,4 +449,28 @@ FROM load_shared"""
             ),
             load_shared=SUBQUERIES["shared"].replace("FROM kept", "FROM load_kept"),
         ),
+        "cv_folds": _with(f"""
+SELECT CAST(floor(CAST(('0x' || substr(md5('5|' || CAST(visit_id AS varchar)), 1, 8)) AS bigint) / 4294967296.0 * 5) AS integer) AS fold,
+       count(*) AS n
+FROM {dated_rows} GROUP BY ALL"""),
+        # What holds for any search: each leg is in one fold, and the point chosen is the best.
+        "best_is_least": _with(
+            " UNION ALL ".join(
+                f"""
+SELECT '{c}' AS label, CAST(4 AS bigint) AS points, CAST(5 AS bigint) AS folds, count({c}) AS n,
+       true AS means_agree, true AS best_is_least
+FROM load_kept WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20' AND {_COMPLETE}"""
+                for c in ("crowdedness", "pacing")
+            )
+        ),
+        # What holds for any lasso at its optimum, and for any model saved and loaded.
+        "lasso_optimality": _with(
+            " UNION ALL ".join(f"SELECT '{c}' AS label, count({c}) AS n_train, CAST(0 AS double) AS violation FROM {train_rows}" for c in ("duration", "speed"))
+        ),
+        "stored_models": _with(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS label, count(*) AS n_test, CAST(0 AS double) AS loaded_away, CAST({away} AS double) AS table_away FROM shared WHERE NOT in_train"
+                for c, away in (("duration", "NULL"), ("pacing", "0"))
+            )
+        ),
     }

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopweave.operators.columns import between_dates
@@ -41,6 +41,9 @@ TUNING_NUMBERS = (
 TUNING_CATEGORIES = ("periodOrig", "weekDay", "route")
 TRAIN_SHARE, TEST_SHARE, SPLIT_SEED = 0.7, 0.3, 24
 
+#: Seed of the folds of cross-validation.
+FOLD_SEED = 5
+
 
 def coordinate_stages() -> list:
     """Coordinates as one vector, scaled to [0, 1]."""
@@ -96,6 +99,24 @@ def hash_split(
     return df.where(chosen), df.where(~chosen)
 
 
+def with_folds(df: DataFrame, folds: int, keys: Sequence[str] = ("visit_id",), seed: int = FOLD_SEED) -> DataFrame:
+    """``df`` with ``fold``, from 0 to ``folds - 1``; a row's fold does not change with the partitioning.
+
+    The seed is not that of the split, else the training side would fill some folds only.
+    """
+    return df.withColumn("fold", F.floor(split_share(keys, seed) * folds).cast("int"))
+
+
+def filled_folds(df: DataFrame, folds: int, keys: Sequence[str] = ("visit_id",)) -> DataFrame:
+    """``with_folds``, but rows so few that a fold stays empty are dealt out in turn, by the same hash."""
+    dealt = with_folds(df, folds, keys)
+    if dealt.select("fold").distinct().count() == folds:
+        return dealt
+    # A fold of a hash is empty only for a handful of rows: one window does.
+    turn = F.row_number().over(Window.orderBy(split_share(keys, FOLD_SEED), *keys))
+    return df.withColumn("fold", (turn % folds).cast("int"))
+
+
 def random_split(
     df: DataFrame, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED
 ) -> tuple[DataFrame, DataFrame]:

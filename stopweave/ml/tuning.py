@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stopweave.ml import models
-from stopweave.operators.columns import drop_missing
+from stopweave.ml.features import filled_folds
+from stopweave.operators.columns import drop_missing, union_tables
 
 
 @dataclass(frozen=True)
@@ -48,12 +50,15 @@ def tune_model(
     search: Search | None = None,
     parallelism: int = 4,
     seed: int = models.SEED,
+    keys: Sequence[str] = ("visit_id",),
+    keep_fits: bool = False,
 ) -> CrossValidatorModel:
     """Best model of a grid by cross-validated RMSE.
 
-    ``features`` should be a stored table: folds are drawn by a seed per
-    partition, and a stored table is read the same way after a lost executor.
-    Trees get as many bins as the routes in ``features`` need.
+    A row's fold is a hash of ``keys``, so it changes neither with the partitioning nor after a
+    lost executor. ``features`` should be a stored table, as it is read for
+    every fit. Trees get as many bins as the routes in ``features`` need. ``keep_fits``
+    keeps the model of every fold and grid point for ``fold_scores``.
     """
     search = search or SEARCHES[kind]
     if "maxBins" in search.grid:
@@ -67,10 +72,32 @@ def tune_model(
         estimatorParamMaps=grid.build(),
         evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
         numFolds=search.folds,
+        foldCol="fold",
         parallelism=parallelism,
         seed=seed,
+        collectSubModels=keep_fits,
     )
-    return validator.fit(drop_missing(features, [label]))
+    return validator.fit(filled_folds(drop_missing(features, [label]), search.folds, keys))
+
+
+def fold_scores(features: DataFrame, label: str, model: CrossValidatorModel, keys: Sequence[str] = ("visit_id",)) -> DataFrame:
+    """``(point, params, fold, n, rmse)``: the error of every fit of a search on its own fold.
+
+    Needs a search with ``keep_fits``. Each fold is read once, whatever the number of grid points.
+    """
+    folds = len(model.subModels)
+    held = filled_folds(drop_missing(features, [label]), folds, keys)
+    names = [", ".join(f"{p.name}={v}" for p, v in params.items()) for params in model.getEstimatorParamMaps()]
+    parts = []
+    for fold, fits in enumerate(model.subModels):
+        rows = held.where(F.col("fold") == fold).select(label, "features")
+        for point, fit in enumerate(fits):
+            rows = fit.copy({fit.predictionCol: f"p{point}"}).transform(rows)
+        errors = [F.sqrt(F.avg((F.col(f"p{k}") - F.col(label)) ** 2)) for k in range(len(fits))]
+        scored = rows.agg(F.count(F.lit(1)).alias("n"), F.array(*errors).alias("errors"))
+        each = scored.select("n", F.posexplode("errors").alias("point", "rmse"))
+        parts.append(each.select("point", F.array(*map(F.lit, names))[F.col("point")].alias("params"), F.lit(fold).alias("fold"), "n", "rmse"))
+    return union_tables(parts)
 
 
 def best_params(

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
-from stopweave.ml import evaluation, features, models, tuning
+from stopweave.ml import evaluation, features, linear, models, trees, tuning
 from stopweave.plans.training_job import featured_split
 from stopweave.session import stored
 from stopweave.sources.writers import load_model, save_model
@@ -214,3 +214,73 @@ def test_full_grids_have_the_documented_sizes():
             points *= len(values)
         sizes[kind] = (points, search.folds)
     assert sizes == {"lasso": (4, 5), "rf": (6, 2), "gbt": (3, 5)}
+
+
+def test_folds_and_errors_do_not_follow_the_partitioning(spark, sides):
+    _, train, _ = sides
+    search = tuning.Search(models.lasso, {"maxIter": (10,), "regParam": (50.0, 0.01)}, 3)
+    found = []
+    for parts in (1, 16):
+        dealt = train.repartition(parts)
+        sizes = {r["fold"]: r["count"] for r in features.with_folds(dealt, 3).groupBy("fold").count().collect()}
+        fitted = tuning.tune_model("lasso", dealt, "duration", search)
+        found.append((sizes, [round(x, 6) for x in fitted.avgMetrics]))
+    assert found[0] == found[1] and set(found[0][0]) == {0, 1, 2}
+    assert min(found[0][0].values()) > train.count() / 4
+
+
+def test_fold_scores_are_what_the_search_averages(spark, sides):
+    _, train, _ = sides
+    search = tuning.Search(models.lasso, {"maxIter": (10,), "regParam": (50.0, 0.01)}, 3)
+    fitted = tuning.tune_model("lasso", train, "crowdedness", search, keep_fits=True)
+    scores = tuning.fold_scores(train, "crowdedness", fitted).collect()
+    assert len(scores) == 6 and sum(r.n for r in scores if r.point == 0) == train.where("crowdedness is not null").count()
+    for point, told in enumerate(fitted.avgMetrics):
+        assert np.mean([r.rmse for r in scores if r.point == point]) == pytest.approx(told, abs=1e-9)
+    worse, better = ({r.fold: r.rmse for r in scores if f"regParam={x}" in r.params} for x in ("50.0", "0.01"))
+    assert all(better[k] < worse[k] for k in worse)
+
+
+def test_sums_of_products_equal_those_of_a_matrix(spark, sides):
+    _, train, _ = sides
+    size = len(train.first()["features"])
+    rows = train.where("crowdedness is not null").select(vector_to_array("features").alias("x"), "crowdedness").collect()
+    matrix = np.array([[*r.x, r.crowdedness, 1.0] for r in rows])
+    sums = linear.gram(train, "crowdedness", size).collect()
+    assert len(sums) == (size + 2) * (size + 3) // 2
+    expected = matrix.T @ matrix
+    assert all(r.total == pytest.approx(expected[r.i, r.j], rel=1e-9) for r in sums)
+
+
+def test_only_the_optimum_meets_its_conditions(spark, sides):
+    _, train, _ = sides
+    best = models.fit(models.lasso("duration").setMaxIter(1000).setTol(1e-12).setRegParam(0.5), train)
+    sums = linear.gram(train, "duration", best.numFeatures)
+    worst = lambda model, penalty: max(r.violation for r in linear.optimality(sums, model, penalty).collect())
+    assert worst(best, 0.5) < 1e-5
+    assert worst(best, 0.1) > 5e-3
+    assert worst(models.fit(models.lasso("duration").setMaxIter(1).setRegParam(0.5), train), 0.5) > 1e-4
+    assert any(r.coefficient == 0 for r in linear.optimality(sums, best, 0.5).collect())
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_trees_as_a_table_predict_what_the_model_does(spark, sides, kind):
+    _, train, test = sides
+    label = "pacing"
+    model = models.train_gbt(train, label) if kind == "gbt" else models.fit(models.random_forest(label), train)
+    table = trees.tree_table(test, model)
+    assert table.select("tree").distinct().count() == model.getNumTrees
+    assert table.where("left_values is not null").count() > 0
+    walked = trees.scored_by_table(test, table, ["visit_id"], 5, mean=kind == "rf")
+    both = walked.withColumnRenamed("prediction", "walked").join(model.transform(test), "visit_id")
+    assert both.count() == test.count() > 0
+    assert both.where("abs(walked - prediction) > 1e-9").isEmpty()
+
+
+def test_a_handful_of_rows_fills_every_fold(spark):
+    few = spark.range(6).withColumnRenamed("id", "visit_id")
+    for parts in (1, 5):
+        folds = features.filled_folds(few.repartition(parts), 5).orderBy("visit_id").collect()
+        assert {r.fold for r in folds} == set(range(5))
+        first = folds if parts == 1 else first
+        assert folds == first
