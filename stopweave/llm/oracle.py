@@ -1,8 +1,27 @@
 """DuckDB SQL for the operators that SQL can express, written independently of them."""
 
-from stopweave.llm.licenses import PHRASES, TEMPLATES
-
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words of the phrases, and their labels.
+PHRASES = {
+    ("mit", "license"): "mit",
+    ("apache", "license"): "apache",
+    ("general", "public", "license"): "gpl",
+}
+#: Label, notice, different words that must be there.
+NOTICES = [
+    ("apache", "licensed under the apache license version 2 0", 8),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at", 13),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", 11),
+    ("cc-by-nc", "licensed under cc by nc 4 0", 7),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", 12),
+    ("gpl", "this work is licensed under the gnu general public license version 3", 10),
+    ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", 15),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 15),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", 13),
+    ("mit", "released under the mit license", 5),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", 13),
+    ("unlicense", "this is free and unencumbered software released into the public domain", 9),
+]
 
 
 def _values(rows) -> str:
@@ -10,24 +29,27 @@ def _values(rows) -> str:
 
 
 def license_sql() -> str:
-    templates = _values((k, label, sorted(set(text.split()))) for k, (label, text) in enumerate(TEMPLATES))
+    templates = _values(
+        (k, label, need, len(set(text.split())), -(-5 * len(text.split()) // 4)) for k, (label, text, need) in enumerate(NOTICES)
+    )
+    members = _values((k, word) for k, (_, text, _) in enumerate(NOTICES) for word in sorted(set(text.split())))
     phrases = " UNION ALL ".join(
         f"SELECT doc_id, text, i - 1 AS pos, '{label}' AS label FROM toks, range(1, len(w) + 1) r(i) WHERE "
         + " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words))
         for words, label in PHRASES.items()
     )
     return f"""
-WITH rows_ AS (SELECT doc_id, text, lower(coalesce(text, '')) AS low FROM documents),
+WITH rows_ AS (SELECT doc_id, text, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
 toks AS (SELECT DISTINCT doc_id, text, regexp_extract_all(low, '{WORD}') AS w FROM rows_),
-templates(k, label, words) AS (VALUES {templates}),
-blocks AS (
-  SELECT doc_id, text, regexp_extract_all(line, '{WORD}') AS w
-  FROM (SELECT doc_id, text, unnest(string_split(low, chr(10))) AS line FROM rows_)
-),
-held AS (
-  SELECT doc_id, text, label, len(list_intersect(words, w)) / len(words) AS score
-  FROM blocks, templates WHERE len(list_intersect(words, w)) >= 0.8 * len(words)
+templates(k, label, need, n, span) AS (VALUES {templates}),
+members(k, word) AS (VALUES {members}),
+spread AS (SELECT doc_id, text, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM toks),
+counted AS (
+  SELECT doc_id, text, k, count(DISTINCT word) OVER (
+           PARTITION BY doc_id, text, k ORDER BY pos RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS c
+  FROM spread JOIN members USING (word) JOIN templates USING (k)
 ),
+held AS (SELECT doc_id, text, label, c / n AS score FROM counted JOIN templates USING (k) WHERE c >= need),
 base AS ({phrases}),
 per_base AS (
   SELECT doc_id, text, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,

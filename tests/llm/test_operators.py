@@ -225,18 +225,23 @@ def test_positions(spark):
     assert [r.before for r in got] == [sum(x.s for x in got[:i]) for i in range(200)]
 
 
+def brute_notices(w):
+    best = {}
+    for label, template in licenses.TEMPLATES:
+        need = set(template.split())
+        span = math.ceil(1.25 * len(template.split()))
+        common = max((len(need.intersection(w[k : k + span])) for k in range(len(w))), default=0)
+        if common >= (0.8 if len(need) >= 10 else 1) * len(need):
+            best[label] = max(best.get(label, 0), common / len(need))
+    return best
+
+
 def test_license_scan(docs, nothing):
     rows = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
     for i, t, *_ in make_docs():
         w = words(t)
         places = [(k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(w)) if tuple(w[k : k + len(phrase)]) == phrase]
-        best = {}
-        for line in low(t).split("\n"):
-            have = set(words(line))
-            for label, template in licenses.TEMPLATES:
-                need = set(template.split())
-                if len(have & need) >= 0.8 * len(need):
-                    best[label] = max(best.get(label, 0), len(have & need) / len(need))
+        best = brute_notices(w)
         best |= {label: 1.0 for _, label in places}
         r = rows[i]
         assert (r.n_words, r.n_base) == (len(w), len(places))
@@ -246,6 +251,38 @@ def test_license_scan(docs, nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+BSD = """/*
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions hold
+ */"""
+MPL = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy was not distributed with this file"""
+
+
+@pytest.mark.parametrize("piece", [2, 64])
+def test_notices_wrapped_over_lines(spark, monkeypatch, piece):
+    monkeypatch.setattr(licenses, "PIECE", piece)
+    rng = random.Random(3)
+    known = sorted({word for _, text in licenses.TEMPLATES for word in text.split()})
+    texts = [BSD, "é " * 300 + BSD + " x" * 300, MPL, BSD.replace("binary ", ""), BSD.replace("binary forms, with or", "")]
+    texts += ["released " + "a " * 9 + "under the " + "b " * 9 + "license mit", "released under the apache", "wor\u212a is licensed under the gnu"]
+    texts += ["Released\nUnder\nThe MIT\n\nLicense", " ".join(known * 40), "the " * 5000, None, "", "license"]
+    texts += [" ".join(rng.choice(known) for _ in range(300)) for _ in range(20)]
+    for _, notice in licenses.TEMPLATES:
+        for drop in (0.1, 0.2, 0.3):
+            kept = [x for x in notice.split() if rng.random() > drop]
+            for _ in range(rng.randrange(4)):
+                kept.insert(rng.randrange(len(kept) + 1), "x")
+            texts.append("\n * ".join(kept))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(rows).collect()}
+    labels = [brute_notices(words(t)) for t in texts]
+    assert [set(x) for x in labels[:9]] == [{"bsd"}, {"bsd"}, {"mpl"}, {"bsd"}, set(), set(), set(), set(), {"mit"}]
+    for i, best in enumerate(labels):
+        assert set(best) <= set(got[i].labels.split(",")) <= set(best) | set(got[i].base_labels.split(",")) | {""}
+        assert got[i].score == pytest.approx(1.0 if got[i].n_base else max(best.values(), default=0))
+
+
 def test_license_scan_runs_no_python(docs):
     plan = licenses.license_scan(stored(docs))._jdf.queryExecution().toString()
     assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan
