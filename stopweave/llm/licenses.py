@@ -69,6 +69,14 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, SEPARATORS), lambda word: word != "")
 
 
+def _n_words(text: Column) -> Column:
+    """Words between separators; splitting leaves an empty string where one begins or ends the text."""
+    parts = F.split(text, SEPARATORS)
+    last = F.element_at(parts, -1)
+    blanks = (parts[0] == "").cast("int") + ((F.size(parts) > 1) & (last == "")).cast("int")
+    return (F.size(parts) - blanks).cast("bigint")
+
+
 def token_order(docs: DataFrame, templates: list[tuple[str, str]]) -> dict[str, int]:
     """Ranks of the templates' words by their count in all documents, rarest first.
 
@@ -196,7 +204,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
             F.max("score").alias("score"),
         )
     )
-    rows = docs.select("doc_id", *row_keys(), F.regexp_count(_lowered(), F.lit(WORD_PATTERN)).cast("bigint").alias("n_words"))
+    rows = docs.select("doc_id", *row_keys(), _n_words(_lowered()).alias("n_words"))
     return rows.join(found, KEYS, "left").select(
         "doc_id",
         "n_words",
