@@ -3,7 +3,8 @@
 The index holds where in which document the anchor terms stand: of each window
 of benchmark words, the terms that are rarest over all documents. Shifted by their
 place in the benchmark item, the lists of two anchors meet where a document may repeat the window;
-there the words themselves are compared.
+there the words themselves are compared. The same index gives proximity matches: places where most of
+the rarest terms of a block of benchmark words stand close together, in any order.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopweave.llm.common import KEYS, WORD_PATTERN, batches_of, row_keys, token_hashes
@@ -21,6 +22,11 @@ from stopweave.session import stored
 WINDOW = 10
 #: Rarest terms that stand for a window; a place needs as many of them.
 ANCHORS = 2
+#: Rarest different terms that stand for a block in proximity matches, how many of them have
+#: to be near one another, and how many words longer than the block the place may be.
+TERMS = 5
+NEEDED = 4
+SLACK = 5
 #: Benchmark words whose terms are looked for in one pass over the documents.
 WORDS_AT_ONCE = 2_000_000
 
@@ -100,12 +106,85 @@ def anchor_places(items: DataFrame, counts: DataFrame, window: int, anchors: int
     parts = ranked.select(
         "item", "n", F.explode(F.sequence(F.lit(1), (F.col("n") - size + 1).cast("int"))).alias("start"), "words", size.alias("size")
     ).select("item", "n", F.slice("words", F.col("start"), F.col("size")).alias("words"))
-    rarest = F.slice(F.array_sort(F.transform("words", lambda w: F.struct(w["c"].alias("c"), w["offset"].alias("offset"), w["term"].alias("term")))), 1, anchors)
+    # Of equally rare words, as where one is repeated, neighbouring windows choose the same places.
+    aligned = F.transform(
+        "words", lambda w: F.struct(w["c"].alias("c"), (w["offset"] % window).alias("turn"), w["offset"].alias("offset"), w["term"].alias("term"))
+    )
+    rarest = F.slice(F.array_sort(aligned), 1, anchors)
     chosen = parts.select("item", "n", rarest.alias("rarest")).where(F.col("rarest")[0]["c"] > 0)
     need = F.least(F.col("n"), F.lit(anchors))
     return chosen.select("item", need.alias("need"), F.inline("rarest")).select("item", "term", F.col("offset").cast("bigint"), "need").distinct()
 
 
+def near_blocks(items: DataFrame, counts: DataFrame, window: int, terms: int, needed: int) -> DataFrame:
+    """``(block, item_id, offset, size, need, terms)``: the rarest different terms of consecutive blocks of each item.
+
+    Blocks have ``window`` words; an item's last one reaches back to have as many, if the item has.
+    Blocks of one word repeated are left to exact phrases. Blocks with equal terms are one ``block``.
+    """
+    spread = items.select("item", "item_id", "n", F.posexplode("terms").alias("offset", "term"))
+    counted = spread.join(counts, "term", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    ranked = counted.groupBy("item", "item_id", "n").agg(F.array_sort(F.collect_list(F.struct("offset", "c", "term"))).alias("words"))
+    size = F.least(F.col("n"), F.lit(window)).cast("int")
+    starts = F.array_distinct(F.transform(F.sequence(F.lit(0), F.col("n") - 1, F.lit(window).cast("bigint")), lambda x: F.least(x, F.col("n") - size)))
+    parts = ranked.select("item_id", "words", size.alias("size"), F.explode(starts.cast("array<int>")).alias("offset"))
+    words = F.slice("words", F.col("offset") + 1, F.col("size"))
+    different = F.array_sort(F.array_distinct(F.transform(words, lambda w: F.struct(w["c"].alias("c"), w["term"].alias("term")))))
+    chosen = parts.select("item_id", "offset", "size", F.slice(different, 1, terms).alias("rarest")).where(F.size("rarest") > 1)
+    need = F.least(F.size("rarest"), F.lit(needed))
+    blocks = chosen.select("item_id", "offset", "size", need.alias("need"), F.array_sort(F.transform("rarest", lambda x: x["term"])).alias("terms"))
+    return blocks.withColumn("block", F.xxhash64("size", "need", "terms"))
+
+
+def _near(index: DataFrame, blocks: DataFrame, slack: int) -> DataFrame:
+    """Runs of words of each row in which every match of a block begins and ends.
+
+    A row's postings of a block are at most its words, and a window's frame at most a place's words.
+    """
+    plain = blocks.select("block", (F.col("size") + slack).alias("span"), "need", "terms").dropDuplicates(["block"])
+    widest = plain.agg(F.max("span")).first()[0] or 1
+    posted = index.join(plain.select("block", "span", "need", F.explode("terms").alias("term")), "term")
+    group = [*KEYS, "block"]
+    frame = Window.partitionBy(*group).orderBy("pos").rangeBetween(1 - widest, 0)
+    # The frame is as wide as the widest block; shorter blocks look at its last part.
+    seen = F.filter(F.collect_list(F.struct("pos", "term")).over(frame), lambda x: x["pos"] > F.col("pos") - F.col("span"))
+    matched = posted.withColumn("seen", seen).where(F.size(F.array_distinct(F.transform("seen", lambda x: x["term"]))) >= F.col("need"))
+    ends = matched.select(*group, "span", F.array_min(F.transform("seen", lambda x: x["pos"])).alias("from"), F.col("pos").alias("to"))
+    before = Window.partitionBy(*group).orderBy("to")
+    new = F.coalesce((F.col("from") > F.lag("to").over(before)).cast("int"), F.lit(1))
+    runs = ends.withColumn("new", new).withColumn("run", F.sum("new").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*group, "run", "span").agg(F.min("from").alias("start"), (F.max("to") + 1).alias("stop"))
+
+
+def _windows_in(words: list[str], item: list[str], starts: list[int], size: int) -> list[tuple[int, int]]:
+    """Where windows of the item stand among the words: runs compared at the starts, or, if these are many, window by window."""
+    found = []
+    if len(starts) * len(item) > len(words) + len(item):
+        windows = {tuple(item[k : k + size]) for k in range(len(item) - size + 1)}
+        firsts = {window[0] for window in windows}
+        for k in range(len(words) - size + 1):
+            if words[k] in firsts and tuple(words[k : k + size]) in windows:
+                found.append((k, k + size))
+    else:
+        for start in starts:
+            low, high = max(0, -start), min(len(item), len(words) - start)
+            run = 0
+            for k in range(low, high + 1):
+                if k < high and words[start + k] == item[k]:
+                    run += 1
+                    continue
+                if run >= size:
+                    found.append((start + k - run, start + k))
+                run = 0
+    runs: list[tuple[int, int]] = []
+    for begin, end in sorted(found):
+        if runs and begin <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
+        else:
+            runs.append((begin, end))
+    return runs
+
+
 def _hits(rows: pd.DataFrame, window: int) -> tuple[list, list, list]:
     """Hit words and found items of documents, by comparing words at the candidate places."""
     n_hit, found, spans = [], [], []
@@ -115,20 +194,11 @@ def _hits(rows: pd.DataFrame, window: int) -> tuple[list, list, list]:
         ids, places = set(), []
         for candidate in candidates:
             item_id, item = candidate["item_id"], words_of(candidate["text"])
-            size = min(window, len(item))
-            for start in map(int, candidate["starts"]):
-                low, high = max(0, -start), min(len(item), len(words) - start)
-                run = 0
-                for k in range(low, high + 1):
-                    if k < high and words[start + k] == item[k]:
-                        run += 1
-                        continue
-                    if run >= size:
-                        marked[start + k - run] += 1
-                        marked[start + k] -= 1
-                        ids.add(item_id or "")
-                        places.append((item_id, start + k - run, start + k))
-                    run = 0
+            for begin, end in _windows_in(words, item, [*map(int, candidate["starts"])], min(window, len(item))):
+                marked[begin] += 1
+                marked[end] -= 1
+                ids.add(item_id or "")
+                places.append((item_id, begin, end))
         n_hit.append(int((np.cumsum(marked) > 0).sum()))
         found.append(sorted(ids))
         spans.append(places)
@@ -149,41 +219,92 @@ def _slices(items: DataFrame, most: int):
         yield items.where(F.pmod("item", F.lit(parts)) == k) if parts > 1 else items
 
 
-def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
-    """``(doc_id, _key1, _key2, n_words, n_hit, items, spans)`` for each row of ``docs(doc_id, text)``.
+def _indexes(plain: DataFrame, benchmark: DataFrame):
+    """For each part of the benchmark's items: the part, the rows' sizes with counts of its terms, and a maker of postings.
 
-    ``benchmark(item_id, text)``. A window is ``window`` consecutive words of an
-    item, or all of a shorter item's; ``n_hit`` counts the row's words inside
-    occurrences of windows, ``items`` are the ids of the items found, as sorted
-    strings, and ``spans`` the runs of words ``(item_id, from, to)``. Null and empty
-    texts have no words and no hits; items without words are never found; a
-    null ``item_id`` is written as an empty string. Equal rows get equal results.
+    The vocabulary of a part, bounded by ``WORDS_AT_ONCE``, goes to every task.
     """
-    spark = docs.sparkSession
-    plain = docs.select("doc_id", F.col("text").cast("string").alias("text"), *row_keys())
-    kind = plain.schema["doc_id"].dataType.simpleString()
     items = stored(benchmark_items(benchmark))
-    rows, matches = None, None
+    context = plain.sparkSession.sparkContext
+    kind = plain.schema["doc_id"].dataType.simpleString()
+
+    def postings(terms: DataFrame) -> DataFrame | None:
+        wanted = np.array([x for (x,) in terms.distinct().collect()], np.int64)
+        if not len(wanted):
+            return None
+        looked = context.broadcast(wanted.view(np.uint64))
+        return stored(plain.mapInArrow(lambda batches: _postings(batches, looked), "_key1 bigint, _key2 int, term bigint, pos bigint"))
+
     for part in [*_slices(items, WORDS_AT_ONCE)] or [items]:
-        # Bounded by WORDS_AT_ONCE.
         terms = np.array([x for (x,) in part.select(F.explode("terms")).distinct().collect()], np.int64)
-        vocabulary = spark.sparkContext.broadcast(terms.view(np.uint64))
+        vocabulary = context.broadcast(terms.view(np.uint64))
         counted = stored(
             plain.mapInArrow(
                 lambda batches, v=vocabulary: _term_counts(batches, v),
                 f"doc_id {kind}, _key1 bigint, _key2 int, n_words bigint, term bigint, n bigint",
             )
         )
+        yield part, counted, counted.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("c")), postings
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), *row_keys())
+
+
+def find_near(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, terms: int = TERMS, needed: int = NEEDED, slack: int = SLACK
+) -> DataFrame:
+    """``(doc_id, _key1, _key2, item_id, offset, start, stop, span)``: proximity matches in ``docs(doc_id, text)``.
+
+    ``benchmark(item_id, text)`` is cut into blocks of ``window`` words, the last one of an item ending with it.
+    A block matches where ``span`` consecutive words of a document, its size and ``slack`` more, hold ``needed`` of its
+    ``terms`` rarest different words (all, if it has fewer), in any order. Matches that share words are one run from ``start``
+    to before ``stop``, which begins and ends with such a word; ``offset`` is the block's place in the item. Blocks of one
+    word repeated never match, nor do null and empty texts. Equal rows get equal matches, a row each.
+    """
+    plain = _plain(docs)
+    found = _near_matches(plain, _indexes(plain, benchmark), window, terms, needed, slack)
+    return plain.select("doc_id", *KEYS).join(found, KEYS).select("doc_id", *found.columns)
+
+
+def _near_matches(plain: DataFrame, parts, window: int, terms: int, needed: int, slack: int) -> DataFrame:
+    found = None
+    for part, _, counts, postings in parts:
+        blocks = stored(near_blocks(part, counts, window, terms, needed))
+        index = postings(blocks.select(F.explode("terms")))
+        if index is None:
+            continue
+        runs = _near(index.distinct(), blocks, slack).join(blocks.select("block", "item_id", "offset").distinct(), "block")
+        runs = runs.select(*KEYS, "item_id", F.col("offset").cast("bigint").alias("offset"), "start", "stop", F.col("span").cast("bigint").alias("span"))
+        found = runs if found is None else found.union(runs)
+    if found is None:
+        empty = "_key1 bigint, _key2 int, item_id string, offset bigint, start bigint, stop bigint, span bigint"
+        found = plain.sparkSession.createDataFrame([], empty)
+    return found
+
+
+def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
+    """``(doc_id, _key1, _key2, n_words, n_hit, items, spans)`` for each row of ``docs(doc_id, text)``.
+
+    ``benchmark(item_id, text)``. A window is ``window`` consecutive words of an
+    item, or all of a shorter item's; ``n_hit`` counts the row's words inside
+    occurrences of windows, ``items`` are the ids of the items found, as sorted
+    strings, and ``spans`` the runs of words ``(item_id, from, to)``. Null and empty
+    texts have no words and no hits; items without words are never found; a
+    null ``item_id`` is written as an empty string. Equal rows get equal results.
+    """
+    plain = _plain(docs)
+    return _passages(plain, _indexes(plain, benchmark), window, anchors)
+
+
+def _passages(plain: DataFrame, parts, window: int, anchors: int) -> DataFrame:
+    rows, matches = None, None
+    for part, counted, counts, postings in parts:
         rows = counted.where("n_words IS NOT NULL").drop("term", "n") if rows is None else rows
-        counts = counted.where("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("c"))
         places = stored(anchor_places(part, counts, window, anchors))
-        wanted = np.array([x for (x,) in places.select("term").distinct().collect()], np.int64)
-        if not len(wanted):
+        index = postings(places.select("term"))
+        if index is None:
             continue
-        looked = spark.sparkContext.broadcast(wanted.view(np.uint64))
-        index = stored(
-            plain.mapInArrow(lambda batches, v=looked: _postings(batches, v), "_key1 bigint, _key2 int, term bigint, pos bigint")
-        )
         met = (
             index.join(places, "term")
             .groupBy(*KEYS, "item", (F.col("pos") - F.col("offset")).alias("start"))
@@ -209,12 +330,20 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, a
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` for each row."""
-    return find_passages(docs, benchmark).select(
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near)`` for each row.
+
+    ``n_near``: items with proximity matches; those of exact phrases are mostly among them.
+    """
+    plain = _plain(docs)
+    parts = [*_indexes(plain, benchmark)]
+    near = _near_matches(plain, parts, WINDOW, TERMS, NEEDED, SLACK)
+    near = near.groupBy(*KEYS).agg(F.count_distinct(F.coalesce("item_id", F.lit(""))).alias("n_near"))
+    return _passages(plain, parts, WINDOW, ANCHORS).join(near, KEYS, "left").select(
         "doc_id",
         "n_words",
         "n_hit",
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.coalesce("n_near", F.lit(0)).alias("n_near"),
     )

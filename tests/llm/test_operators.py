@@ -6,10 +6,12 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -132,11 +134,69 @@ def test_passages(spark, docs, nothing):
                     found |= windows[tuple(w[k : k + n])]
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         expected[i, len(w), len(hit), len(found), digest, bool(hit)] += 1
-    assert Counter(map(tuple, decontamination.contamination(docs, benchmark).collect())) == expected
+    assert Counter(tuple(r)[:6] for r in decontamination.contamination(docs, benchmark).collect()) == expected
     assert decontamination.contamination(nothing, benchmark).count() == 0
     assert not decontamination.contamination(docs, benchmark.limit(0)).where("contaminated").count()
 
 
+def brute_near(texts, items, window, terms, needed, slack):
+    counts = Counter(x for t in texts for x in words(t))
+    by_hash = {x: h for x, h in zip(sorted(counts), decontamination.token_hashes(pa.array(sorted(counts)))[0].view(np.int64).tolist())}
+    found = set()
+    for item_id, item in {(None if i is None else str(i), t) for i, t in items}:
+        w = words(item)
+        size = min(window, len(w))
+        for offset in {min(k, len(w) - size) for k in range(0, len(w), window)}:
+            block = sorted({(counts[x], by_hash.get(x, decontamination.token_hashes(pa.array([x]))[0].view(np.int64).tolist()[0]), x) for x in w[offset : offset + size]})
+            rarest = {x for *_, x in block[:terms]}
+            if len(rarest) < 2:
+                continue
+            for k, t in enumerate(texts):
+                d, runs = words(t), []
+                for end in range(len(d)):
+                    begin = max(0, end - size - slack + 1)
+                    held = [p for p in range(begin, end + 1) if d[p] in rarest]
+                    if d[end] not in rarest or len({d[p] for p in held}) < min(needed, len(rarest)):
+                        continue
+                    if runs and held[0] <= runs[-1][1]:
+                        runs[-1] = (min(runs[-1][0], held[0]), end)
+                    else:
+                        runs.append((held[0], end))
+                found |= {(k, item_id, offset, a, b + 1, size + slack) for a, b in runs}
+    return found
+
+
+@pytest.mark.parametrize("at_once", [8, 2_000_000])
+def test_proximity(spark, monkeypatch, at_once):
+    monkeypatch.setattr(decontamination, "WORDS_AT_ONCE", at_once)
+    rng = random.Random(11)
+    text = [f"w{k}" for k in range(30)]
+    items = [(1, PASSAGE), (2, "short item"), (3, " ".join(rng.choices(text, k=37))), (4, None), (5, ""), (6, "the " * 30), (None, "one two"), (2, "short item"), (7, "w1 w2 w1 w2 w3 w3")]
+    broken = PASSAGE.split()
+    shuffled = rng.sample(broken, len(broken))
+    texts = [" ".join(broken[:5] + ["inserted"] + broken[5:]), " ".join(broken[:4] + broken[5:]), " ".join(shuffled), " x ".join(broken), "item of a short", "two, ONE"]
+    texts += [" ".join(rng.choices(text, k=rng.randrange(1, 80))) for _ in range(25)] + ["the " * 50, None, "", " x" * 200 + " " + PASSAGE + " y" * 90]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.offset, r.start, r.stop, r.span) for r in decontamination.find_near(docs, benchmark).collect()]
+    expected = brute_near(texts, items, 10, 5, 4, 5)
+    assert {k for k, i, *_ in expected if i == "1"} >= {0, 1, 2, len(texts) - 1} and (4, "2", 0, 0, 4, 7) in expected
+    assert len(got) == len(set(got)) and set(got) == expected
+    assert not decontamination.find_near(docs.limit(0), benchmark).count() and not decontamination.find_near(docs, benchmark.limit(0)).count()
+
+
+def test_passages_of_one_repeated_word(spark):
+    docs = spark.createDataFrame([(k, "the " * 200 + "end " + "the " * (k % 15)) for k in range(400)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "the " * 200), (2, "the " * 12)], "item_id long, text string")
+    begun = time.monotonic()
+    rows = decontamination.find_passages(docs, benchmark).collect()
+    assert time.monotonic() - begun < 30
+    for r in rows:
+        tail = r.doc_id % 15 if r.doc_id % 15 >= 10 else 0
+        assert r.n_hit == 200 + tail and r["items"] == ["1", "2"]
+        assert {tuple(x) for x in r.spans} == {(i, a, b) for i in "12" for a, b in [(0, 200), (201, 201 + tail)] if b > a}
+
+
 def test_mixing(docs, nothing):
     rows = mixing.mix(docs).collect()
     assert len(rows) == docs.count()
