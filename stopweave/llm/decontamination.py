@@ -27,6 +27,8 @@ ANCHORS = 2
 TERMS = 5
 NEEDED = 4
 SLACK = 5
+#: Pairs of a rare term's place and a block looked at in one step.
+PROBES = 1 << 15
 #: Benchmark words whose terms are looked for in one pass over the documents.
 WORDS_AT_ONCE = 2_000_000
 
@@ -132,18 +134,83 @@ def near_blocks(items: DataFrame, counts: DataFrame, window: int, terms: int, ne
     different = F.array_sort(F.array_distinct(F.transform(words, lambda w: F.struct(w["c"].alias("c"), w["term"].alias("term")))))
     chosen = parts.select("item_id", "offset", "size", F.slice(different, 1, terms).alias("rarest")).where(F.size("rarest") > 1)
     need = F.least(F.size("rarest"), F.lit(needed))
-    blocks = chosen.select("item_id", "offset", "size", need.alias("need"), F.array_sort(F.transform("rarest", lambda x: x["term"])).alias("terms"))
+    blocks = chosen.select("item_id", "offset", "size", need.alias("need"), F.transform("rarest", lambda x: x["term"]).alias("terms"))
     return blocks.withColumn("block", F.xxhash64("size", "need", "terms"))
 
 
-def _near(index: DataFrame, blocks: DataFrame, slack: int) -> DataFrame:
-    """Runs of words of each row in which every match of a block begins and ends.
+def _block_table(plain: list) -> tuple:
+    """Blocks as arrays: their terms by number, and for each term the blocks that have it among their rarest.
+
+    A match may lack a few of a block's terms, so it holds one of the first few.
+    """
+    terms = np.unique(np.array([t for row in plain for t in row.terms], np.int64).view(np.uint64))
+    members = np.full((len(plain), max(len(row.terms) for row in plain)), -2, np.int64)
+    for k, row in enumerate(plain):
+        members[k, : len(row.terms)] = np.searchsorted(terms, np.array(row.terms, np.int64).view(np.uint64))
+    first = [(members[k, j], k) for k, row in enumerate(plain) for j in range(len(row.terms) - row.need + 1)]
+    term, block = np.array(sorted(first), np.int64).T
+    ids, span, need = (np.array([row[c] for row in plain], np.int64) for c in ("block", "span", "need"))
+    return terms, ids, members, need, span, np.searchsorted(term, np.arange(len(terms) + 1)), block
+
+
+def _near_postings(batches, table):
+    """Postings of blocks' terms, only from where enough of a block's terms stand around one of its rarest."""
+    terms, block_ids, members, need, span, firsts_of, blocks_of = table.value
+    steps = np.arange(1 - int(span.max()), int(span.max()))
+    for whole in batches:
+        for batch in batches_of(whole, "text"):
+            hashes, firsts = token_hashes(batch.column("text"))
+            at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+            ids = np.where(terms[at] == hashes, at, -1)
+            n = np.where(ids >= 0, firsts_of[ids + 1] - firsts_of[ids], 0)
+            hits = np.flatnonzero(n)
+            n, ends = n[hits], np.cumsum(n[hits])
+            begin = 0
+            while begin < len(hits):
+                before = ends[begin] - n[begin]
+                end = max(begin + 1, int(np.searchsorted(ends, before + PROBES, side="right")))
+                times = n[begin:end]
+                word = np.repeat(hits[begin:end], times)
+                turn = np.arange(len(word)) - np.repeat(ends[begin:end] - times - before, times)
+                block = blocks_of[firsts_of[ids[word]] + turn]
+                row = np.searchsorted(firsts, word, side="right") - 1
+                where = word[:, None] + steps
+                inside = (where >= firsts[row][:, None]) & (where < firsts[row + 1][:, None]) & (np.abs(steps) < span[block][:, None])
+                near = np.where(inside, ids[np.clip(where, 0, len(ids) - 1)], -1)
+                held, different = np.zeros(near.shape, bool), np.zeros(len(word), np.int64)
+                for member in members[block].T:
+                    there = near == member[:, None]
+                    held |= there
+                    different += there.any(axis=1)
+                held &= (different >= need[block])[:, None]
+                i, j = np.nonzero(held)
+                begin = end
+                if not len(i):
+                    continue
+                place, found = np.unique(np.stack([where[i, j], block[i]], axis=1), axis=0).T
+                row = np.searchsorted(firsts, place, side="right") - 1
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(c).take(pa.array(row)) for c in KEYS]
+                    + [pa.array(block_ids[found]), pa.array(hashes[place].view(np.int64)), pa.array(place - firsts[row])],
+                    names=[*KEYS, "block", "term", "pos"],
+                )
+
+
+def _near(plain: DataFrame, blocks: DataFrame, slack: int) -> DataFrame | None:
+    """Runs of words of each row in which every match of a block begins and ends; nothing if there are no blocks.
 
     A row's postings of a block are at most its words, and a window's frame at most a place's words.
+    The blocks that go to every task are bounded by ``WORDS_AT_ONCE``.
     """
-    plain = blocks.select("block", (F.col("size") + slack).alias("span"), "need", "terms").dropDuplicates(["block"])
-    widest = plain.agg(F.max("span")).first()[0] or 1
-    posted = index.join(plain.select("block", "span", "need", F.explode("terms").alias("term")), "term")
+    needs = blocks.select("block", (F.col("size") + slack).alias("span"), "need", "terms").dropDuplicates(["block"])
+    rows = needs.collect()
+    if not rows:
+        return None
+    table = plain.sparkSession.sparkContext.broadcast(_block_table(rows))
+    index = plain.mapInArrow(lambda batches: _near_postings(batches, table), "_key1 bigint, _key2 int, block bigint, term bigint, pos bigint")
+    index = stored(index)
+    widest = max(row.span for row in rows)
+    posted = index.distinct().join(needs.select("block", "span", "need"), "block")
     group = [*KEYS, "block"]
     frame = Window.partitionBy(*group).orderBy("pos").rangeBetween(1 - widest, 0)
     # The frame is as wide as the widest block; shorter blocks look at its last part.
@@ -269,12 +336,12 @@ def find_near(
 
 def _near_matches(plain: DataFrame, parts, window: int, terms: int, needed: int, slack: int) -> DataFrame:
     found = None
-    for part, _, counts, postings in parts:
+    for part, _, counts, _ in parts:
         blocks = stored(near_blocks(part, counts, window, terms, needed))
-        index = postings(blocks.select(F.explode("terms")))
-        if index is None:
+        found_runs = _near(plain, blocks, slack)
+        if found_runs is None:
             continue
-        runs = _near(index.distinct(), blocks, slack).join(blocks.select("block", "item_id", "offset").distinct(), "block")
+        runs = found_runs.join(blocks.select("block", "item_id", "offset").distinct(), "block")
         runs = runs.select(*KEYS, "item_id", F.col("offset").cast("bigint").alias("offset"), "start", "stop", F.col("span").cast("bigint").alias("span"))
         found = runs if found is None else found.union(runs)
     if found is None:
