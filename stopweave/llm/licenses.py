@@ -17,7 +17,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopweave.llm.common import KEYS, WORD_PATTERN, row_keys
+from stopweave.llm.common import KEYS, row_keys
 from stopweave.session import stored
 
 CONTAINED = 0.8
@@ -116,9 +116,9 @@ def template_hits(
     first = sorted({row[3] for row in prefixes})
     widest = max(row[5] for row in prefixes)
     name = {rank: word for word, rank in order.items()}
-    inside = WORD_PATTERN[:-1]
-    pattern = f"(?<!{inside})(?:{'|'.join(name[rank] for rank in first)})(?!{inside})"
-    near = docs.where(_lowered().rlike(pattern)).select(*row_keys(), _words(_lowered_ascii()).alias("words"))
+    starters = F.array(*(F.lit(name[rank]) for rank in first))
+    near = docs.where(F.arrays_overlap(F.split(_lowered(), SEPARATORS), starters))
+    near = near.select(*row_keys(), _words(_lowered_ascii()).alias("words"))
     ranks = F.create_map(*(F.lit(x) for pair in order.items() for x in pair))
     placed = F.transform("words", lambda word, pos: F.struct(pos.alias("pos"), word.alias("word")))
     met = F.filter(placed, lambda x: x["word"].isin(*order))
