@@ -497,7 +497,8 @@ def test_vectors(spark):
     assert neighbours.near_duplicate_vectors(table.limit(0)).count() == 0
 
 
-def test_vectors_of_tight_groups_joined_by_one_pair(spark):
+@pytest.mark.parametrize("least,recall", [(1024, 0.98), (7, 0.98), (7, 2)])
+def test_vectors_of_tight_groups_joined_by_one_pair(spark, monkeypatch, least, recall):
     rng = np.random.default_rng(6)
     rows, size = [], 24
 
@@ -513,7 +514,9 @@ def test_vectors_of_tight_groups_joined_by_one_pair(spark):
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     links = unit @ unit.T >= 0.93
     assert links[:size, size:].sum() == 1 and links[:size, :size].all()
-    got = neighbours.near_duplicate_vectors(table).collect()
+    monkeypatch.setattr(neighbours, "LEAST_BLOCK", least)
+    got = neighbours.near_duplicate_vectors(table, recall=recall).collect()
+    assert {r.audited_recall for r in got} == {1.0}
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, links[i].sum() - 1, 0) for i, *_ in rows}
 
 
@@ -527,8 +530,7 @@ def test_links_of_vectors_do_not_need_the_graph(spark, monkeypatch, least):
     unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
     links = (unit @ unit.T >= 0.93) & (np.arange(60)[:, None] % 2 == np.arange(60) % 2) & ~np.eye(60, dtype=bool)
     roots = brute_components(list(range(60)), lambda a, b: links[a, b])
-    empty = spark.createDataFrame([], "u long, v long, sim double")
-    got = neighbours._linked(empty, nodes, 30, 0.93).collect()
+    got = neighbours._linked(None, nodes, 30, 0.93).collect()
     n = 1 + np.arange(60) % 3
     assert {(r.node, r.root, r.links) for r in got} == {(k, roots[k], int(links[k] @ n)) for k in range(60)}
 
