@@ -439,6 +439,31 @@ def test_backoff(spark, docs, nothing):
     assert backoff.score_documents(nothing, nothing).count() == 0
 
 
+def shuffle_files(spark):
+    """Names of the files that shuffles have left on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while files.hasNext():
+        names.add(files.next().getName())
+    return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+
+def test_backoff_in_slices(spark, docs):
+    """Any number of slices and blocks gives the same scores, and no slice's n-grams stay on the disk."""
+    corpus = docs.where("doc_id % 2 = 0")
+    rounded = lambda rows: Counter((r.doc_id, r.n_words, round(r.log_score, 6) + 0.0) for r in rows.collect())
+    whole = rounded(backoff.score_documents(docs, corpus, slices=1))
+    before = shuffle_files(spark)
+    scored = backoff.score_documents(docs, corpus, slices=7, block=2_000)
+    assert not shuffle_files(spark) - before
+    assert rounded(scored) == whole
+    assert backoff.text_blocks(docs, corpus, block=2_000).count() > 3
+    same = docs.select("*")
+    assert rounded(backoff.score_documents(docs, docs, block=2_000)) == rounded(backoff.score_documents(docs, same, slices=2))
+    words_alone = backoff.score_documents(docs, corpus, order=1, slices=3)
+    assert rounded(words_alone) == rounded(backoff.score_documents(docs, corpus, order=1, block=500))
+
+
 def test_secrets(spark, nothing):
     rng = random.Random(2)
     token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
